@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 from functools import cached_property
 
@@ -9,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from checks.raw_entities import RAW_SQL, TABLES
 from stratalake.functions import columns as c
-from stratalake.plans import bronze, gold, marts, silver
+from stratalake.plans import bronze, gold, silver
+from stratalake.plans.frames import Frames, Star
 
 RUN_AT = datetime(2024, 4, 1, 6, 30, 15)
 
@@ -29,27 +31,22 @@ class Lake:
         return bronze.add_lineage(self.raw(entity), f"{entity}.src", RUN_AT)
 
     @cached_property
-    def silver(self) -> dict[str, DataFrame]:
-        return {name: silver.silver(name, self.raw(name)) for name in RAW_SQL}
+    def silver(self) -> Frames:
+        def build(name: str) -> Callable[[], DataFrame]:
+            return lambda: silver.silver(name, self.raw(name))
 
-    def members(self, entity: str, key: str) -> DataFrame:
-        return self.silver[entity].filter(c.has_text(key))
+        return Frames({name: build(name) for name in RAW_SQL})
 
     @cached_property
-    def tables(self) -> dict[str, DataFrame]:
-        return gold.build_star(self.silver)
+    def tables(self) -> Frames:
+        return Frames(gold.star_builders(self.silver))
 
     @cached_property
-    def star(self) -> marts.Star:
-        return marts.Star(**self.tables)
+    def star(self) -> Star:
+        return Star(self.tables)
 
     @cached_property
-    def plain_star(self) -> marts.Star:
+    def plain_star(self) -> Star:
         """For reports that never look at the campaign: sales without the attribution step."""
-        sales = gold.fct_sales(
-            self.silver,
-            self.members("customers", "customer_id"),
-            self.members("products", "product_id"),
-            None,
-        )
-        return marts.Star(**(self.tables | {"fct_sales": sales}))
+        plain = gold.star_builders(self.silver, attributed=False)
+        return self.star.changed(fct_sales=lambda _: plain["fct_sales"]())

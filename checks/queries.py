@@ -15,6 +15,7 @@ from checks.raw_entities import RAW_SQL
 from stratalake.functions import columns as c
 from stratalake.operators import attribution, dedup, defects, joins, layout, quality
 from stratalake.plans import gold, marts, runlog, silver, storage_profile
+from stratalake.plans.frames import Star
 from stratalake.schemas import GOLD_TABLES, RAW_ENTITIES
 from stratalake.sources import catalog
 from stratalake.sources.files import artifact_sizes, list_files, list_layers
@@ -873,7 +874,7 @@ register("j11_dim_date", lambda lake: lake.tables["dim_date"],
          comparable_sql("dim_date", "g_dim_date"))
 
 
-def natural_ids(fact: DataFrame, star: marts.Star) -> DataFrame:
+def natural_ids(fact: DataFrame, star: Star) -> DataFrame:
     """Surrogate keys resolved back to natural ids through the dimensions."""
     for dim, key in ((star.dim_customer, "customer_key"), (star.dim_product, "product_key"),
                      (star.dim_campaign, "campaign_key")):

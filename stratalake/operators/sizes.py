@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Well under Spark's own 8 GiB / 512 M row ceiling and small next to an executor heap.
+# In-memory bytes of a hinted side: small next to an executor heap.
 BROADCAST_LIMIT = 50 * 1024 * 1024
+# Compressed bytes up to which Catalyst broadcasts on its own (its default threshold).
+AUTO_LIMIT = 10 * 1024 * 1024
 ROW_OVERHEAD = 32
 
 
@@ -30,7 +32,7 @@ def measured_bytes(df: DataFrame) -> int:
     return int(df.agg(F.coalesce(F.sum(width.cast("bigint")), F.lit(0))).first()[0])
 
 
-def looks_small(df: DataFrame, limit: int = BROADCAST_LIMIT) -> bool:
+def looks_small(df: DataFrame, limit: int = AUTO_LIMIT) -> bool:
     """Plan-time check only; use it to choose a plan shape that is right either way."""
     size = estimated_bytes(df)
     return size is not None and size <= limit

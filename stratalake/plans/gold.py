@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratalake.functions import columns as c
 from stratalake.operators.attribution import last_touch
 from stratalake.operators.dedup import latest_per_key
 from stratalake.operators.joins import keep_known, lookup_join, splittable_join
-from stratalake.schemas import GOLD_TABLES, MONEY
+from stratalake.schemas import GOLD_TABLES, MONEY, RAW_ENTITIES
 
 
 def _unique(silver: DataFrame, key: str) -> DataFrame:
@@ -110,10 +110,10 @@ def known_campaign(frame: DataFrame, campaigns: DataFrame) -> DataFrame:
 def order_heads(
     orders: DataFrame,
     customers: DataFrame,
+    touches: DataFrame | None,
     calendar: DataFrame | None = None,
-    touches: DataFrame | None = None,
 ) -> DataFrame:
-    """Valid orders of known customers, with the last-touch campaign where ``touches`` is given.
+    """Valid orders of known customers with their keys, and the last-touch campaign if asked for.
 
     Everything that depends on the order alone is settled here, on the narrow side, so the item
     lines are shuffled by order only once. ``calendar`` may be left out: ``dim_date`` holds every
@@ -123,56 +123,49 @@ def order_heads(
     if calendar is not None:
         days = calendar.select(F.col("full_date").alias("sales_date")).distinct()
         heads = heads.join(days, "sales_date", "left_semi")
-    if touches is not None:
+    if touches is None:
+        heads = heads.withColumn("campaign_id", F.lit(None).cast("string"))
+    else:
         heads = splittable_join(heads, touches, ["customer_id", "sales_date"], "left")
-    return heads
+    return heads.select(
+        "order_id",
+        c.surrogate_key("customer_id").alias("customer_key"),
+        optional_key("campaign_id").alias("campaign_key"),
+        c.date_key(F.col("sales_date")).alias("date_key"),
+        "payment_method",
+        "order_status",
+    )
 
 
-def sales_lines(
+def optional_key(name: str) -> Column:
+    return F.when(F.col(name).isNotNull(), c.surrogate_key(name))
+
+
+def fct_sales(
     silver: Mapping[str, DataFrame],
     customers: DataFrame,
     products: DataFrame,
-    campaigns: DataFrame | None = None,
+    campaigns: DataFrame | None,
     calendar: DataFrame | None = None,
 ) -> DataFrame:
-    """Item-level sales with natural keys: valid items of valid orders, known customer and product.
+    """One row per valid item of a valid order with a known customer and product.
 
-    ``campaigns=None`` skips attribution for reports that never look at the campaign; it adds a
-    column and never a row.
+    Dimension frames only prove that a member exists: keys are recomputed from the natural ids, so
+    no dimension column travels through a join and the shuffle carries 8-byte keys, not ids.
+    ``campaigns=None`` skips attribution for reports that never look at the campaign; it fills a
+    column and never adds or drops a row.
     """
     touches = None
     if campaigns is not None:
         touches = known_campaign(last_touch(silver["web_events"]), campaigns)
-    heads = order_heads(silver["orders"], customers, calendar, touches)
+    heads = order_heads(silver["orders"], customers, touches, calendar)
     items = keep_known(valid_items(silver["order_items"]), products, "product_id")
-    return items.join(heads, "order_id", "inner")
-
-
-def fct_sales(
-    silver: Mapping[str, DataFrame],
-    customers: DataFrame,
-    products: DataFrame,
-    campaigns: DataFrame | None,
-    calendar: DataFrame | None = None,
-) -> DataFrame:
-    """The sales fact. Dimension frames only prove that a member exists: keys are recomputed from
-    the natural ids, so no dimension column travels through a join."""
-    lines = sales_lines(silver, customers, products, campaigns, calendar)
-    campaign_key = (
-        F.lit(None).cast("bigint")
-        if campaigns is None
-        else F.when(F.col("campaign_id").isNotNull(), c.surrogate_key("campaign_id"))
-    )
-    keyed = lines.withColumns(
-        {
-            "sales_key": c.surrogate_key("order_id", "order_item_id"),
-            "customer_key": c.surrogate_key("customer_id"),
-            "product_key": c.surrogate_key("product_id"),
-            "campaign_key": campaign_key,
-            "date_key": c.date_key(F.col("sales_date")),
-        }
+    items = items.withColumn("product_key", c.surrogate_key("product_id")).drop("product_id")
+    # Both sides are facts: never build one in memory, sort-merge spills and splits hot orders.
+    lines = items.join(heads.hint("merge"), "order_id", "inner")
+    return _finish(
+        "fct_sales", lines.withColumn("sales_key", c.surrogate_key("order_id", "order_item_id"))
     )
-    return _finish("fct_sales", keyed)
 
 
 def fct_web_events(
@@ -193,35 +186,43 @@ def fct_web_events(
         {
             "event_key": c.surrogate_key("event_id", "session_id", "event_timestamp"),
             "customer_key": c.surrogate_key("customer_id"),
-            "campaign_key": F.when(
-                F.col("campaign_id").isNotNull(), c.surrogate_key("campaign_id")
-            ),
+            "campaign_key": optional_key("campaign_id"),
             "date_key": c.date_key(F.col("event_date")),
         }
     )
     return _finish("fct_web_events", keyed)
 
 
-def build_star(silver: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """All six tables as lazy frames over the six silver entities."""
-    customers, products, campaigns = (
-        silver[name].filter(c.has_text(key))
-        for name, key in (
-            ("customers", "customer_id"),
-            ("products", "product_id"),
-            ("campaigns", "campaign_id"),
-        )
-    )
+def star_builders(
+    silver: Mapping[str, DataFrame], attributed: bool = True
+) -> dict[str, Callable[[], DataFrame]]:
+    """One builder per gold table, so that a caller plans only the tables it reads."""
+
+    def members(entity: str) -> DataFrame:
+        return silver[entity].filter(c.has_text(RAW_ENTITIES[entity].key))
+
     return {
-        "dim_customer": dim_customer(silver["customers"]),
-        "dim_product": dim_product(silver["products"]),
-        "dim_campaign": dim_campaign(silver["campaigns"]),
-        "dim_date": dim_date(silver["orders"], silver["web_events"]),
-        "fct_sales": fct_sales(silver, customers, products, campaigns),
-        "fct_web_events": fct_web_events(silver, customers, campaigns),
+        "dim_customer": lambda: dim_customer(silver["customers"]),
+        "dim_product": lambda: dim_product(silver["products"]),
+        "dim_campaign": lambda: dim_campaign(silver["campaigns"]),
+        "dim_date": lambda: dim_date(silver["orders"], silver["web_events"]),
+        "fct_sales": lambda: fct_sales(
+            silver,
+            members("customers"),
+            members("products"),
+            members("campaigns") if attributed else None,
+        ),
+        "fct_web_events": lambda: fct_web_events(
+            silver, members("customers"), members("campaigns")
+        ),
     }
 
 
+def build_star(silver: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """All six tables as lazy frames over the six silver entities."""
+    return {name: build() for name, build in star_builders(silver).items()}
+
+
 # --- input counters ---------------------------------------------------------------------------
 
 # Which silver entities feed each table; the date dimension counts both of its sources.
@@ -235,7 +236,7 @@ INPUTS = {
 }
 
 
-def _input_defects() -> dict:
+def _input_defects() -> dict[str, Column]:
     """Rows the gold layer counts as invalid. A NULL status flag counts here."""
     return {
         "customers": c.lacks_text("customer_id"),

@@ -15,7 +15,9 @@ TUNED = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-    "spark.sql.autoBroadcastJoinThreshold": str(50 * MIB),
+    # Catalyst compares compressed file sizes with this, so it stays far below what fits in memory;
+    # AQE uses the same limit on real shuffle sizes at run time.
+    "spark.sql.autoBroadcastJoinThreshold": str(10 * MIB),
 }
 NAIVE = {
     "spark.sql.adaptive.enabled": "false",

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.plans import marts
+from stratalake.plans.frames import Star
 from stratalake.schemas import GOLD_TABLES
 from stratalake.sources.raw import join_path, require_paths
 
@@ -35,8 +36,8 @@ def publish_gold(spark: SparkSession, gold_root: str, database: str = GOLD_DB) -
     return published
 
 
-def gold_frames(spark: SparkSession, database: str = GOLD_DB) -> marts.Star:
-    return marts.Star(**{name: spark.table(f"{database}.{name}") for name in GOLD_TABLES})
+def gold_frames(spark: SparkSession, database: str = GOLD_DB) -> Star:
+    return Star({name: spark.table(f"{database}.{name}") for name in GOLD_TABLES})
 
 
 def materialise(
