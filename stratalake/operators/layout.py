@@ -9,18 +9,18 @@ from pyspark.sql import DataFrame
 from pyspark.storagelevel import StorageLevel
 
 
-def cluster_for_write(df: DataFrame, partition_columns: Sequence[str]) -> DataFrame:
-    """Bring the rows of one output partition together without making one task own it.
+def spread_by_key(df: DataFrame, *keys: str) -> DataFrame:
+    """Bring rows of one key together without making one task own a hot key.
 
-    The rebalance hint lets AQE split a hot partition value over several tasks and merge small
-    ones, so files come out near the advisory size in both directions.
+    The rebalance hint lets AQE split a hot key over several tasks and merge small ones, where a
+    plain ``repartition(key)`` would leave a third of the table in one task.
     """
-    return df.hint("rebalance", *partition_columns) if partition_columns else df
+    return df.hint("rebalance", *keys)
 
 
-def spread_by_key(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
-    """Explicit hash repartition by key, for a fact that several later stages group by it."""
-    return df.repartition(partitions, key) if partitions else df.repartition(key)
+def cluster_for_write(df: DataFrame, partition_columns: Sequence[str]) -> DataFrame:
+    """Layout for a partitioned write: files near the advisory size for hot and cold values."""
+    return spread_by_key(df, *partition_columns) if partition_columns else df
 
 
 def write_entity(

@@ -107,6 +107,13 @@ def known_campaign(frame: DataFrame, campaigns: DataFrame) -> DataFrame:
     return checked.withColumn("campaign_id", F.col("__known")).drop("__known")
 
 
+def on_calendar(frame: DataFrame, calendar: DataFrame, day: str) -> DataFrame:
+    """Rows whose day is in the calendar. Days of four-digit years number at most 3.7 million, so
+    the distinct calendar may always be broadcast."""
+    days = calendar.select(F.col("full_date").alias(day)).distinct()
+    return frame.join(F.broadcast(days), day, "left_semi")
+
+
 def order_heads(
     orders: DataFrame,
     customers: DataFrame,
@@ -121,8 +128,7 @@ def order_heads(
     """
     heads = keep_known(valid_orders(orders), customers, "customer_id")
     if calendar is not None:
-        days = calendar.select(F.col("full_date").alias("sales_date")).distinct()
-        heads = heads.join(days, "sales_date", "left_semi")
+        heads = on_calendar(heads, calendar, "sales_date")
     if touches is None:
         heads = heads.withColumn("campaign_id", F.lit(None).cast("string"))
     else:
@@ -180,8 +186,7 @@ def fct_web_events(
     )
     events = keep_known(events, customers, "customer_id")
     if calendar is not None:
-        days = calendar.select(F.col("full_date").alias("event_date")).distinct()
-        events = events.join(days, "event_date", "left_semi")
+        events = on_calendar(events, calendar, "event_date")
     keyed = known_campaign(events, campaigns).withColumns(
         {
             "event_key": c.surrogate_key("event_id", "session_id", "event_timestamp"),

@@ -1,14 +1,18 @@
 """Layer runs: the only place where actions happen. Paths are URIs, local or object store.
 
-Row counts come from ``Observation`` metrics of the write itself. They sit in the stage that
+Entities do not depend on each other, so their jobs are submitted side by side and small ones do
+not leave the cluster idle. Row counts come from ``Observation`` metrics of the write itself. They sit in the stage that
 writes, where Spark counts every task once however often it is retried.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
+from functools import partial
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +33,15 @@ def _percentage(records_in: int, invalid: int) -> float:
     return 100.0 if records_in <= 0 else round(max(records_in - invalid, 0) / records_in * 100, 2)
 
 
+def _side_by_side(
+    spark: SparkSession, jobs: Mapping[str, Callable[[], EntityMetric]], width: int = 4
+) -> list[EntityMetric]:
+    """Run independent Spark jobs from a few driver threads; results in the given order."""
+    with ThreadPoolExecutor(width) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs.values()]
+        return [future.result() for future in running]
+
+
 def _recorded(
     spark: SparkSession,
     job: str,
@@ -69,24 +82,25 @@ def raw_to_bronze(
     started_at = _now()
     sources = {name: join_path(raw_root, e.file_name) for name, e in RAW_ENTITIES.items()}
 
+    def load(name: str) -> EntityMetric:
+        entity = RAW_ENTITIES[name]
+        df = read_entity(spark, sources[name], name, (formats or {}).get(name), multi_line)
+        lacking = missing_columns(df, name)
+        if lacking:
+            raise ValueError(f"{name}: required columns missing: {', '.join(lacking)}")
+        rows = Observation()
+        target = join_path(bronze_root, name)
+        stamped = bronze.add_lineage(df, entity.file_name, started_at)
+        layout.write_entity(
+            stamped.observe(rows, F.count(F.lit(1)).alias("records_in")), target
+        )
+        written = spark.read.parquet(target).count()  # footers only
+        return EntityMetric(name, rows.get["records_in"], written)
+
     def work(metrics: list[EntityMetric], paths: list[str]) -> None:
         require_paths(spark, sources)
-        for name, entity in RAW_ENTITIES.items():
-            df = read_entity(spark, sources[name], name, (formats or {}).get(name), multi_line)
-            lacking = missing_columns(df, name)
-            if lacking:
-                raise ValueError(f"{name}: required columns missing: {', '.join(lacking)}")
-            rows = Observation()
-            target = join_path(bronze_root, name)
-            layout.write_entity(
-                bronze.add_lineage(df, entity.file_name, started_at).observe(
-                    rows, F.count(F.lit(1)).alias("records_in")
-                ),
-                target,
-            )
-            written = spark.read.parquet(target).count()  # footers only
-            metrics.append(EntityMetric(name, rows.get["records_in"], written))
-            paths.append(target)
+        metrics += _side_by_side(spark, {name: partial(load, name) for name in RAW_ENTITIES})
+        paths += [join_path(bronze_root, name) for name in RAW_ENTITIES]
 
     return _recorded(spark, "raw_to_bronze", "raw", "bronze", history, work)
 
@@ -100,25 +114,28 @@ def bronze_to_silver(
 ) -> list[EntityMetric]:
     """Refine, count and write each entity in a single pass over bronze."""
 
+    def refine(name: str, df: DataFrame) -> EntityMetric:
+        seen = Observation()
+        marked = silver.marked(name, df).observe(
+            seen,
+            F.count(F.lit(1)).alias("records_in"),
+            F.count_if(F.col(silver.DEFECT)).alias("invalid"),
+        )
+        target = join_path(silver_root, name)
+        layout.write_entity(
+            silver.settled(name, marked), target, silver.PARTITION_COLUMNS, keep_other_dates
+        )
+        written = spark.read.parquet(target).count()  # footers only
+        counts = seen.get
+        share = _percentage(counts["records_in"], counts["invalid"])
+        return EntityMetric(name, counts["records_in"], written, counts["invalid"], share)
+
     def work(metrics: list[EntityMetric], paths: list[str]) -> None:
-        for name, df in read_layer(spark, bronze_root, RAW_ENTITIES).items():
-            seen = Observation()
-            marked = silver.marked(name, df).observe(
-                seen,
-                F.count(F.lit(1)).alias("records_in"),
-                F.count_if(F.col(silver.DEFECT)).alias("invalid"),
-            )
-            target = join_path(silver_root, name)
-            layout.write_entity(
-                silver.settled(name, marked), target, silver.PARTITION_COLUMNS, keep_other_dates
-            )
-            written = spark.read.parquet(target).count()  # footers only
-            counts = seen.get
-            share = _percentage(counts["records_in"], counts["invalid"])
-            metrics.append(
-                EntityMetric(name, counts["records_in"], written, counts["invalid"], share)
-            )
-            paths.append(target)
+        entities = read_layer(spark, bronze_root, RAW_ENTITIES)
+        metrics += _side_by_side(
+            spark, {name: partial(refine, name, df) for name, df in entities.items()}
+        )
+        paths += [join_path(silver_root, name) for name in entities]
 
     return _recorded(spark, "bronze_to_silver", "bronze", "silver", history, work)
 
@@ -128,29 +145,42 @@ def silver_to_gold(
 ) -> list[EntityMetric]:
     """Dimensions first; the facts then read the written dimensions instead of rebuilding them."""
 
+    def store(name: str, df: DataFrame, records_in: int) -> EntityMetric:
+        target = join_path(gold_root, name)
+        parts = GOLD_TABLES[name].partitioned_by
+        rows = Observation()
+        clustered = layout.cluster_for_write(df, parts)
+        layout.write_entity(
+            clustered.observe(rows, F.count(F.lit(1)).alias("rows")), target, parts
+        )
+        return EntityMetric(name, records_in, rows.get["rows"])
+
     def work(metrics: list[EntityMetric], paths: list[str]) -> int:
         entities = read_layer(spark, silver_root, RAW_ENTITIES)
         counts = {row["entity"]: row for row in gold.input_counts(entities).collect()}
 
-        def store(name: str, df: DataFrame) -> DataFrame:
-            target = join_path(gold_root, name)
-            parts = GOLD_TABLES[name].partitioned_by
-            rows = Observation()
-            clustered = layout.cluster_for_write(df, parts)
-            layout.write_entity(
-                clustered.observe(rows, F.count(F.lit(1)).alias("rows")), target, parts
-            )
-            taken = sum(counts[entity]["records_in"] for entity in gold.INPUTS[name])
-            metrics.append(EntityMetric(name, taken, rows.get["rows"]))
-            paths.append(target)
-            return spark.read.parquet(target)
-
-        customers = store("dim_customer", gold.dim_customer(entities["customers"]))
-        products = store("dim_product", gold.dim_product(entities["products"]))
-        campaigns = store("dim_campaign", gold.dim_campaign(entities["campaigns"]))
-        store("dim_date", gold.dim_date(entities["orders"], entities["web_events"]))
-        store("fct_sales", gold.fct_sales(entities, customers, products, campaigns))
-        store("fct_web_events", gold.fct_web_events(entities, customers, campaigns))
+        def store_all(tables: dict[str, DataFrame]) -> None:
+            taken = {
+                name: sum(counts[entity]["records_in"] for entity in gold.INPUTS[name])
+                for name in tables
+            }
+            jobs = {name: partial(store, name, df, taken[name]) for name, df in tables.items()}
+            metrics.extend(_side_by_side(spark, jobs))
+            paths.extend(join_path(gold_root, name) for name in tables)
+
+        store_all({
+            "dim_customer": gold.dim_customer(entities["customers"]),
+            "dim_product": gold.dim_product(entities["products"]),
+            "dim_campaign": gold.dim_campaign(entities["campaigns"]),
+            "dim_date": gold.dim_date(entities["orders"], entities["web_events"]),
+        })
+        customers, products, campaigns = read_layer(
+            spark, gold_root, ("dim_customer", "dim_product", "dim_campaign")
+        ).values()
+        store_all({
+            "fct_sales": gold.fct_sales(entities, customers, products, campaigns),
+            "fct_web_events": gold.fct_web_events(entities, customers, campaigns),
+        })
         return sum(row["invalid_records"] for row in counts.values())
 
     return _recorded(spark, "silver_to_gold", "silver", "gold", history, work)

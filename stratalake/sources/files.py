@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.sources.raw import path_exists
 
-LISTING_SCHEMA = "path string, length bigint"
+
+def _no_files(spark: SparkSession) -> DataFrame:
+    return spark.range(0).select(F.lit(None).cast("string").alias("path"), F.col("id").alias(
+        "length"))
 
 
 def list_files(spark: SparkSession, path: str) -> DataFrame:
@@ -19,7 +23,7 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
     marker files whose names start with a dot or an underscore.
     """
     if not path_exists(spark, path):
-        return spark.createDataFrame([], LISTING_SCHEMA)
+        return _no_files(spark)
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
@@ -30,21 +34,32 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
 
 def list_layers(spark: SparkSession, roots: dict[str, str]) -> DataFrame:
     """(layer, path, length) over several layer roots."""
-    listing = spark.createDataFrame([], "layer string, " + LISTING_SCHEMA)
-    for layer, root in roots.items():
-        files = list_files(spark, root).select(F.lit(layer).alias("layer"), "path", "length")
-        listing = listing.union(files)
-    return listing
+    return _labelled(spark, "layer", roots)
 
 
 def artifact_sizes(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
     """(artifact, file_count, size_bytes) per distinct existing path, in path order."""
-    listing = spark.createDataFrame([], "artifact string, " + LISTING_SCHEMA)
-    for path in sorted(set(paths)):
-        files = list_files(spark, path).select(F.lit(path).alias("artifact"), "path", "length")
-        listing = listing.union(files)
+    existing = [path for path in sorted(set(paths)) if path_exists(spark, path)]
+    files = _labelled(spark, "artifact", {path: path for path in existing})
+    # One empty entry per path, so a folder without files still shows with zeros.
+    names = F.array(*[F.lit(path) for path in existing]).cast("array<string>")
+    folders = spark.range(1).select(
+        F.explode(names).alias("artifact"),
+        F.lit(None).cast("string").alias("path"),
+        F.lit(0).cast("bigint").alias("length"),
+    )
     return (
-        listing.groupBy("artifact")
-        .agg(F.count("*").alias("file_count"), F.sum("length").alias("size_bytes"))
+        files.union(folders)
+        .groupBy("artifact")
+        .agg(F.count("path").alias("file_count"), F.sum("length").alias("size_bytes"))
         .orderBy("artifact")
     )
+
+
+def _labelled(spark: SparkSession, label: str, roots: dict[str, str]) -> DataFrame:
+    parts = [
+        list_files(spark, root).select(F.lit(name).alias(label), "path", "length")
+        for name, root in roots.items()
+    ]
+    none = _no_files(spark).select(F.lit(None).cast("string").alias(label), "path", "length")
+    return reduce(DataFrame.union, parts, none)
