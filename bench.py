@@ -17,7 +17,6 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from checks.lake import Lake  # noqa: E402
-from checks.queries import QUERIES  # noqa: E402
 from checks.raw_entities import RAW_SQL  # noqa: E402
 from stratalake.operators.layout import write_entity  # noqa: E402
 from stratalake.plans import marts, runner  # noqa: E402
@@ -26,8 +25,6 @@ from stratalake.session import build_session, profile  # noqa: E402
 from stratalake.sources.layers import read_gold  # noqa: E402
 from stratalake.sources.raw import join_path  # noqa: E402
 
-FROM_RAW = ("k1_revenue_by_category", "k4_campaign_performance", "k6_dm_sales_overview")
-
 
 def scratch(spark) -> str:
     """Run folder below the cluster's shared checkpoint folder; a local one only without it."""
@@ -79,8 +76,6 @@ def main() -> None:
     with profile(spark, "naive"):
         for number, name in enumerate(marts.naive_queries(star), start=7):
             timed(f"k{number}_naive_{name}", lambda n=name: marts.naive_queries(star)[n].collect())
-    for name in FROM_RAW:
-        timed(f"{name}_from_raw", lambda n=name: QUERIES[n](Lake(spark, sf_dir)).collect())
 
     headline = [n for n in seconds if "_naive_" not in n and not n.startswith("prepare_")]
     print(json.dumps({

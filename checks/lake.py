@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 from functools import cached_property
+from tempfile import mkdtemp
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,6 +14,7 @@ from checks.raw_entities import RAW_SQL, TABLES
 from stratalake.functions import columns as c
 from stratalake.plans import bronze, gold, silver
 from stratalake.plans.frames import Frames, Star
+from stratalake.sources.raw import join_path
 
 RUN_AT = datetime(2024, 4, 1, 6, 30, 15)
 
@@ -20,6 +23,13 @@ class Lake:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir.rstrip("/")
 
+    def scratch(self, name: str) -> str:
+        """A fresh folder below the cluster's checkpoint folder; a local one only without it."""
+        shared = self.spark.conf.get("spark.checkpoint.dir", None)
+        if shared:
+            return join_path(shared, f"check-{uuid4().hex}", name)
+        return join_path(mkdtemp(prefix="run-", dir="/tmp"), name)
+
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 

@@ -10,15 +10,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from checks.duck import EMAIL, STATUSES, token, with_ctes
-from checks.lake import Lake
+from checks.lake import RUN_AT, Lake
 from checks.raw_entities import RAW_SQL
 from stratalake.functions import columns as c
 from stratalake.operators import attribution, dedup, defects, joins, layout, quality
-from stratalake.plans import gold, marts, runlog, silver, storage_profile
+from stratalake.plans import bronze, gold, marts, runlog, silver, storage_profile
 from stratalake.plans.frames import Star
 from stratalake.schemas import GOLD_TABLES, RAW_ENTITIES
 from stratalake.sources import catalog
 from stratalake.sources.files import artifact_sizes, list_files, list_layers
+from stratalake.sources.raw import read_entity
 
 QUERIES: dict[str, Callable[[Lake], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -60,6 +61,67 @@ register(
 )
 
 
+def csv_copy(lake: Lake, entity: str) -> str:
+    """The raw entity written as header CSV, several files, whitespace kept."""
+    path = lake.scratch(f"{entity}.csv")
+    writer = lake.raw(entity).write.option("header", True)
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(
+        path)
+    return path
+
+
+register(
+    "a1_csv_scan_items",
+    lambda lake: read_entity(lake.spark, csv_copy(lake, "order_items"), "order_items"),
+    "select * from raw_order_items",
+)
+register(
+    "a1_csv_scan_customers",
+    lambda lake: read_entity(lake.spark, csv_copy(lake, "customers"), "customers"),
+    "select * from raw_customers",
+)
+
+
+@query(
+    "a2_json_scan",
+    """select event_id, customer_id, session_id, event_type, page, device, campaign_id,
+              cast(cast(event_timestamp as timestamp) as string) as event_timestamp
+       from raw_web_events""",
+)
+def json_scan(lake: Lake) -> DataFrame:
+    path = lake.scratch("web_events.json")
+    text = F.col("event_timestamp").cast("string")  # as text, with all its digits
+    lake.raw("web_events").withColumn("event_timestamp", text).write.json(path)
+    events = read_entity(lake.spark, path, "web_events", multi_line=False)
+    return events.withColumn("event_timestamp", c.timestamp("event_timestamp"))
+
+
+@query(
+    "a5_partitioned_write",
+    """select order_id, customer_id, order_status, cast(cast(order_date as date) as string) as day
+       from s_orders""",
+)
+def partitioned_write(lake: Lake) -> DataFrame:
+    path = lake.scratch("orders")
+    orders = lake.silver["orders"].select(
+        "order_id", "customer_id", "order_status", c.date("order_date").alias("day"))
+    for _ in range(2):  # an overwrite, not an append
+        layout.write_entity(layout.cluster_for_write(orders, ["day"]), path, ["day"])
+    return lake.spark.read.parquet(path)
+
+
+@query(
+    "j1_bronze_orders",
+    """select *, '2024-04-01 06:30:15' as ingestion_timestamp, 'orders.csv' as source_file,
+              '2024-04-01' as processing_date from raw_orders""",
+)
+def bronze_orders(lake: Lake) -> DataFrame:
+    source = read_entity(lake.spark, csv_copy(lake, "orders"), "orders")
+    path = lake.scratch("orders")
+    layout.write_entity(bronze.add_lineage(source, "orders.csv", RUN_AT), path)
+    return lake.spark.read.parquet(path)
+
+
 @query(
     "a9_publication_manifest",
     " union all ".join(

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.operators.sizes import AUTO_LIMIT, looks_small
+from stratalake.operators.sizes import looks_small
 
 LANES = 4096
 _LANE = "__lane"
@@ -39,7 +39,7 @@ def lookup_join(
     dimension: DataFrame,
     on: Sequence[str],
     how: str = "inner",
-    limit: int = AUTO_LIMIT,
+    limit: int | None = None,
 ) -> DataFrame:
     """Join a fact to a dimension: Catalyst's broadcast while small, a splittable join beyond."""
     if looks_small(dimension, limit):

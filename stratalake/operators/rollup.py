@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratalake.operators.joins import lookup_join
-from stratalake.operators.sizes import AUTO_LIMIT, looks_small
+from stratalake.operators.sizes import looks_small
 
 
 def sums_by_attribute(
@@ -18,7 +18,7 @@ def sums_by_attribute(
     attributes: Sequence[Column | str],
     sums: dict[str, str],
     how: str = "inner",
-    limit: int = AUTO_LIMIT,
+    limit: int | None = None,
 ) -> DataFrame:
     """``sum(column) as name`` for each entry of ``sums``, grouped by dimension attributes.
 

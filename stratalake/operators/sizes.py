@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # In-memory bytes of a hinted side: small next to an executor heap.
 BROADCAST_LIMIT = 50 * 1024 * 1024
-# Compressed bytes up to which Catalyst broadcasts on its own (its default threshold).
-AUTO_LIMIT = 10 * 1024 * 1024
+_UNITS = {"": 1, "b": 1, "k": 2**10, "kb": 2**10, "m": 2**20, "mb": 2**20, "g": 2**30,
+          "gb": 2**30, "t": 2**40, "tb": 2**40}
 ROW_OVERHEAD = 32
 
 
@@ -32,10 +32,18 @@ def measured_bytes(df: DataFrame) -> int:
     return int(df.agg(F.coalesce(F.sum(width.cast("bigint")), F.lit(0))).first()[0])
 
 
-def looks_small(df: DataFrame, limit: int = AUTO_LIMIT) -> bool:
-    """Plan-time check only; use it to choose a plan shape that is right either way."""
+def auto_limit(spark: SparkSession) -> int:
+    """The session's own broadcast threshold in bytes; -1 when automatic broadcasts are off."""
+    value = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB").strip().lower()
+    digits = value.rstrip("bkmgt")
+    return int(digits) * _UNITS[value[len(digits):]]
+
+
+def looks_small(df: DataFrame, limit: int | None = None) -> bool:
+    """Whether Catalyst would broadcast ``df`` on its own. A plan-time estimate: use it to choose
+    a plan shape that gives the same rows either way."""
     size = estimated_bytes(df)
-    return size is not None and size <= limit
+    return size is not None and size <= (auto_limit(df.sparkSession) if limit is None else limit)
 
 
 def broadcast_if_bounded(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stratalake.operators import attribution, dedup, defects, joins, layout
-from stratalake.operators.sizes import broadcast_if_bounded, looks_small, measured_bytes
+from stratalake.operators.sizes import auto_limit, broadcast_if_bounded, looks_small, measured_bytes
 from stratalake.plans import gold, marts
 from stratalake.plans.frames import Frames, Star
 from stratalake.session import NAIVE, TUNED, object_store_conf, profile, shuffle_partitions
@@ -210,6 +210,19 @@ def test_broadcast_only_when_measured_small(spark, tmp_path):
     assert unhinted._jdf.queryExecution().analyzed().toString().count("ResolvedHint") == 0
 
 
+def test_auto_limit_follows_the_session(spark, conf):
+    for text, size in (("-1", -1), ("10485760b", 10 * 2**20), ("50MB", 50 * 2**20), ("4096", 4096)):
+        conf(autoBroadcastJoinThreshold=text)
+        assert auto_limit(spark) == size
+
+
+def test_small_lookup_is_splittable_without_broadcasts(spark, conf):
+    small_splits(conf)
+    members = spark.range(0, 500).select(F.concat(F.lit("k"), "id").alias("k")).union(
+        spark.createDataFrame([("hot",)], "k string"))
+    assert "SortMergeJoin(skew=true)" in final_plan(joins.keep_known(hot_fact(spark), members, "k"))
+
+
 def star_of(spark, sales=3000):
     fct = spark.range(sales).select(
         F.col("id").alias("sales_key"), (F.col("id") % 700).cast("string").alias("order_id"),
