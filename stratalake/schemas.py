@@ -28,6 +28,7 @@ class RawEntity:
     columns: dict[str, str]
 
 
+# Names, keys and types of the six source datasets.
 RAW_ENTITIES = {
     entity.name: entity
     for entity in (
@@ -75,6 +76,7 @@ class GoldTable:
     partitioned_by: tuple[str, ...] = ()
 
 
+# Columns, types and partitioning of the six star-schema tables.
 GOLD_TABLES = {
     table.name: table
     for table in (

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.sources.raw import path_exists
+from stratalake.sources.raw import open_or_none
 
 
 def _no_files(spark: SparkSession) -> DataFrame:
@@ -16,50 +16,46 @@ def _no_files(spark: SparkSession) -> DataFrame:
         "length"))
 
 
+def _listing(spark: SparkSession, path: str) -> DataFrame | None:
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    files = open_or_none(lambda: reader.load(path))
+    return None if files is None else files.select("path", "length")
+
+
 def list_files(spark: SparkSession, path: str) -> DataFrame:
     """(path, length) of every data file below ``path``; a missing path gives no rows.
 
     The content column is never selected, so files are listed but not opened. Spark leaves out
     marker files whose names start with a dot or an underscore.
     """
-    if not path_exists(spark, path):
-        return _no_files(spark)
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .load(path)
-        .select("path", "length")
-    )
+    files = _listing(spark, path)
+    return _no_files(spark) if files is None else files
 
 
 def list_layers(spark: SparkSession, roots: dict[str, str]) -> DataFrame:
     """(layer, path, length) over several layer roots."""
-    return _labelled(spark, "layer", roots)
+    parts = [
+        list_files(spark, root).select(F.lit(layer).alias("layer"), "path", "length")
+        for layer, root in roots.items()
+    ]
+    return reduce(DataFrame.union, parts)
 
 
 def artifact_sizes(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
     """(artifact, file_count, size_bytes) per distinct existing path, in path order."""
-    existing = [path for path in sorted(set(paths)) if path_exists(spark, path)]
-    files = _labelled(spark, "artifact", {path: path for path in existing})
+    found = {path: _listing(spark, path) for path in sorted(set(paths))}
+    found = {path: files for path, files in found.items() if files is not None}
     # One empty entry per path, so a folder without files still shows with zeros.
-    names = F.array(*[F.lit(path) for path in existing]).cast("array<string>")
+    names = F.array(*[F.lit(path) for path in found]).cast("array<string>")
     folders = spark.range(1).select(
         F.explode(names).alias("artifact"),
         F.lit(None).cast("string").alias("path"),
         F.lit(0).cast("bigint").alias("length"),
     )
+    parts = [files.select(F.lit(path).alias("artifact"), "*") for path, files in found.items()]
     return (
-        files.union(folders)
+        reduce(DataFrame.union, parts, folders)
         .groupBy("artifact")
         .agg(F.count("path").alias("file_count"), F.sum("length").alias("size_bytes"))
         .orderBy("artifact")
     )
-
-
-def _labelled(spark: SparkSession, label: str, roots: dict[str, str]) -> DataFrame:
-    parts = [
-        list_files(spark, root).select(F.lit(name).alias(label), "path", "length")
-        for name, root in roots.items()
-    ]
-    none = _no_files(spark).select(F.lit(None).cast("string").alias(label), "path", "length")
-    return reduce(DataFrame.union, parts, none)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -60,23 +60,31 @@ def missing_columns(df: DataFrame, name: str) -> list[str]:
     return [column for column in RAW_ENTITIES[name].columns if column not in df.columns]
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Works for any URI Spark can list, local or object store."""
+def open_or_none(reader: Callable[[], DataFrame]) -> DataFrame | None:
+    """The frame, or None where its path does not exist. Any URI Spark can list works."""
     try:
-        spark.read.format("binaryFile").load(path)
+        return reader()
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            return False
+            return None
         raise
-    return True
 
 
-def require_paths(spark: SparkSession, paths: dict[str, str] | Sequence[str]) -> None:
-    """Fail before any work starts, naming every missing dataset."""
-    named = paths if isinstance(paths, dict) else {path: path for path in paths}
-    missing = [f"{name} ({path})" for name, path in named.items() if not path_exists(spark, path)]
-    if missing:
-        raise FileNotFoundError("missing input datasets: " + ", ".join(missing))
+def path_exists(spark: SparkSession, path: str) -> bool:
+    return open_or_none(lambda: spark.read.format("binaryFile").load(path)) is not None
+
+
+def fail_on_missing(missing: Iterable[str]) -> None:
+    names = ", ".join(missing)
+    if names:
+        raise FileNotFoundError(f"missing input datasets: {names}")
+
+
+def require_paths(spark: SparkSession, paths: dict[str, str]) -> None:
+    """Fail before any work starts, naming every missing dataset (name -> path)."""
+    fail_on_missing(
+        f"{name} ({path})" for name, path in paths.items() if not path_exists(spark, path)
+    )
 
 
 def join_path(root: str, *parts: str) -> str:

@@ -71,7 +71,8 @@ def test_file_listing(spark, layers, tmp_path):
     assert artifact_sizes(spark, []).count() == 0
     assert path_exists(spark, layers["bronze"]) and not path_exists(spark, layers["gold"])
     with pytest.raises(FileNotFoundError) as failure:
-        require_paths(spark, [layers["bronze"], layers["gold"], str(tmp_path / "zip")])
+        require_paths(
+            spark, {"a": layers["bronze"], "b": layers["gold"], "c": str(tmp_path / "zip")})
     assert layers["gold"] in str(failure.value) and "zip" in str(failure.value)
     assert layers["bronze"] not in str(failure.value)
 
