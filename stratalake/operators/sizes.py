@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stratalake.session import size_in_bytes
+
 # In-memory bytes of a hinted side: small next to an executor heap.
 BROADCAST_LIMIT = 50 * 1024 * 1024
-_UNITS = {"": 1, "b": 1, "k": 2**10, "kb": 2**10, "m": 2**20, "mb": 2**20, "g": 2**30,
-          "gb": 2**30, "t": 2**40, "tb": 2**40}
 ROW_OVERHEAD = 32
 
 
@@ -21,6 +23,11 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
+def total_bytes(frames: Iterable[DataFrame]) -> int:
+    """Estimated input of a job that reads all of ``frames``; unknown sizes count as nothing."""
+    return sum(estimated_bytes(df) or 0 for df in frames)
+
+
 def measured_bytes(df: DataFrame) -> int:
     """Exact in-memory width of all rows, from one aggregate over ``df``."""
     width = F.lit(ROW_OVERHEAD)
@@ -34,9 +41,7 @@ def measured_bytes(df: DataFrame) -> int:
 
 def auto_limit(spark: SparkSession) -> int:
     """The session's own broadcast threshold in bytes; -1 when automatic broadcasts are off."""
-    value = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB").strip().lower()
-    digits = value.rstrip("bkmgt")
-    return int(digits) * _UNITS[value[len(digits):]]
+    return size_in_bytes(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB"))
 
 
 def looks_small(df: DataFrame, limit: int | None = None) -> bool:

@@ -17,9 +17,11 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.operators import layout, quality
+from stratalake.operators.sizes import total_bytes
 from stratalake.plans import bronze, gold, runlog, silver
 from stratalake.plans.runlog import EntityMetric, Run
 from stratalake.schemas import GOLD_TABLES, RAW_ENTITIES
+from stratalake.session import sized
 from stratalake.sources.layers import read_gold, read_layer
 from stratalake.sources.raw import join_path, missing_columns, read_entity, require_paths
 
@@ -34,12 +36,23 @@ def _percentage(records_in: int, invalid: int) -> float:
 
 
 def _side_by_side(
-    spark: SparkSession, jobs: Mapping[str, Callable[[], EntityMetric]], width: int = 4
-) -> list[EntityMetric]:
-    """Run independent Spark jobs from a few driver threads; results in the given order."""
+    spark: SparkSession,
+    jobs: Mapping[str, Callable[[], EntityMetric]],
+    metrics: list[EntityMetric],
+    width: int = 4,
+) -> None:
+    """Run independent Spark jobs from a few driver threads. Metrics arrive in the given order;
+    those of finished jobs are kept when another one fails."""
+    failures = []
     with ThreadPoolExecutor(width) as pool:
         running = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs.values()]
-        return [future.result() for future in running]
+        for future in running:
+            try:
+                metrics.append(future.result())
+            except Exception as failure:
+                failures.append(failure)
+    if failures:
+        raise failures[0]
 
 
 def _recorded(
@@ -99,7 +112,7 @@ def raw_to_bronze(
 
     def work(metrics: list[EntityMetric], paths: list[str]) -> None:
         require_paths(spark, sources)
-        metrics += _side_by_side(spark, {name: partial(load, name) for name in RAW_ENTITIES})
+        _side_by_side(spark, {name: partial(load, name) for name in RAW_ENTITIES}, metrics)
         paths += [join_path(bronze_root, name) for name in RAW_ENTITIES]
 
     return _recorded(spark, "raw_to_bronze", "raw", "bronze", history, work)
@@ -132,8 +145,8 @@ def bronze_to_silver(
 
     def work(metrics: list[EntityMetric], paths: list[str]) -> None:
         entities = read_layer(spark, bronze_root, RAW_ENTITIES)
-        metrics += _side_by_side(
-            spark, {name: partial(refine, name, df) for name, df in entities.items()}
+        _side_by_side(
+            spark, {name: partial(refine, name, df) for name, df in entities.items()}, metrics
         )
         paths += [join_path(silver_root, name) for name in entities]
 
@@ -157,6 +170,12 @@ def silver_to_gold(
 
     def work(metrics: list[EntityMetric], paths: list[str]) -> int:
         entities = read_layer(spark, silver_root, RAW_ENTITIES)
+        with sized(spark, total_bytes(entities.values())):
+            return build(entities, metrics, paths)
+
+    def build(
+        entities: Mapping[str, DataFrame], metrics: list[EntityMetric], paths: list[str]
+    ) -> int:
         counts = {row["entity"]: row for row in gold.input_counts(entities).collect()}
 
         def store_all(tables: dict[str, DataFrame]) -> None:
@@ -165,7 +184,7 @@ def silver_to_gold(
                 for name in tables
             }
             jobs = {name: partial(store, name, df, taken[name]) for name, df in tables.items()}
-            metrics.extend(_side_by_side(spark, jobs))
+            _side_by_side(spark, jobs, metrics)
             paths.extend(join_path(gold_root, name) for name in tables)
 
         store_all({
@@ -200,8 +219,10 @@ def quality_checks(
     )
     if results_path is None:
         return results
-    results.coalesce(1).write.mode("overwrite").json(join_path(results_path, "checks"))
-    stored = spark.read.schema(results.schema).json(join_path(results_path, "checks"))
+    checks = join_path(results_path, "checks")
+    with sized(spark, total_bytes([*entities.values(), *tables.values()])):
+        results.coalesce(1).write.mode("overwrite").json(checks)
+    stored = spark.read.schema(results.schema).json(checks)
     seconds = (_now() - started_at).total_seconds()
     quality.summary(stored, seconds).write.mode("overwrite").json(
         join_path(results_path, "summary")

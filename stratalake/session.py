@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -27,9 +27,15 @@ NAIVE = {
 PROFILES = {"tuned": TUNED, "naive": NAIVE}
 
 
-def shuffle_partitions(input_bytes: int, target_bytes: int = 128 * MIB, minimum: int = 4) -> int:
+# Beyond this many reducers the shuffle index itself becomes the cost; partitions then grow and
+# sort-based operators spill. The same goes for scan tasks.
+MAX_SHUFFLE_PARTITIONS = 20_000
+MAX_SCAN_TASKS = 200_000
+
+
+def shuffle_partitions(input_bytes: int, target_bytes: int = 256 * MIB, minimum: int = 4) -> int:
     """Shuffle width for a job reading ``input_bytes``; AQE merges what turns out too small."""
-    return max(minimum, -(-input_bytes // target_bytes))
+    return min(MAX_SHUFFLE_PARTITIONS, max(minimum, -(-input_bytes // target_bytes)))
 
 
 def object_store_conf(
@@ -75,13 +81,7 @@ def build_session(
 
 
 @contextmanager
-def profile(
-    spark: SparkSession, name: str, shuffle_width: int | None = None
-) -> Iterator[SparkSession]:
-    """Apply the ``tuned`` or ``naive`` profile and restore the former values on exit."""
-    wanted = dict(PROFILES[name])
-    if shuffle_width is not None:
-        wanted["spark.sql.shuffle.partitions"] = str(max(4, shuffle_width))
+def _settings(spark: SparkSession, wanted: dict[str, str]) -> Iterator[SparkSession]:
     former = {key: spark.conf.get(key, None) for key in wanted}
     try:
         for key, value in wanted.items():
@@ -93,3 +93,42 @@ def profile(
                 spark.conf.unset(key)
             else:
                 spark.conf.set(key, value)
+
+
+def profile(
+    spark: SparkSession, name: str, shuffle_width: int | None = None
+) -> AbstractContextManager[SparkSession]:
+    """Apply the ``tuned`` or ``naive`` profile and restore the former values on exit."""
+    wanted = dict(PROFILES[name])
+    if shuffle_width is not None:
+        wanted["spark.sql.shuffle.partitions"] = str(max(4, shuffle_width))
+    return _settings(spark, wanted)
+
+
+def sized(spark: SparkSession, input_bytes: int) -> AbstractContextManager[SparkSession]:
+    """Widen shuffles and scan splits for a job over ``input_bytes``; never narrows a setting.
+
+    AQE can merge shuffle partitions but not add any, so the starting width has to fit the input.
+    """
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    split = size_in_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    return _settings(
+        spark,
+        {
+            "spark.sql.shuffle.partitions": str(max(width, shuffle_partitions(input_bytes))),
+            "spark.sql.files.maxPartitionBytes": str(
+                max(split, -(-input_bytes // MAX_SCAN_TASKS))
+            ),
+        },
+    )
+
+
+_UNITS = {"": 1, "b": 1, "k": 2**10, "kb": 2**10, "m": 2**20, "mb": 2**20, "g": 2**30,
+          "gb": 2**30, "t": 2**40, "tb": 2**40}
+
+
+def size_in_bytes(value: str) -> int:
+    """A Spark size setting such as ``10MB``, ``10485760b`` or ``-1``."""
+    text = value.strip().lower()
+    digits = text.rstrip("bkmgt")
+    return int(digits) * _UNITS[text[len(digits):]]

@@ -138,6 +138,16 @@ def test_failed_run_is_recorded(spark, tmp_path):
     assert run.status == "failed" and "missing input datasets" in run.error_message
 
 
+def test_a_failing_entity_keeps_the_others(spark, tmp_path):
+    raw = write_raw(tmp_path / "raw")
+    (raw / "orders.csv").write_text("order_id,order_date\n1,2024-01-01\n")
+    with pytest.raises(ValueError, match="orders: required columns missing: customer_id"):
+        runner.raw_to_bronze(spark, str(raw), str(tmp_path / "out"), str(tmp_path / "history"))
+    run = runlog.read_history(spark, str(tmp_path / "history")).first()
+    assert run.status == "failed"
+    assert [m.entity for m in run.entity_metrics] == [n for n in RAW_ENTITIES if n != "orders"]
+
+
 def test_quality_results_are_stored(spark, lake, tmp_path):
     results = runner.quality_checks(spark, lake["silver"], lake["gold"], str(tmp_path / "dq"))
     assert results.count() == 15

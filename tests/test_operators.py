@@ -10,10 +10,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from stratalake.operators import attribution, dedup, defects, joins, layout
-from stratalake.operators.sizes import auto_limit, broadcast_if_bounded, looks_small, measured_bytes
+from stratalake.operators.sizes import (
+    auto_limit, broadcast_if_bounded, looks_small, measured_bytes, total_bytes,
+)
 from stratalake.plans import gold, marts
 from stratalake.plans.frames import Frames, Star
-from stratalake.session import NAIVE, TUNED, object_store_conf, profile, shuffle_partitions
+from stratalake.session import NAIVE, TUNED, object_store_conf, profile, shuffle_partitions, sized
 
 
 def final_plan(df) -> str:
@@ -333,7 +335,21 @@ def test_profile_restores_settings(spark):
         assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
         assert spark.conf.get("spark.sql.adaptive.enabled") == TUNED["spark.sql.adaptive.enabled"]
     assert shuffle_partitions(0) == 4
-    assert shuffle_partitions(10 * 2**40) == 81920
+    assert shuffle_partitions(2**40) == 4096
+    assert shuffle_partitions(100 * 2**40) == 20_000
+
+
+def test_sized_widens_and_restores(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    with sized(spark, 2**40):
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "4096"
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == str(128 * 2**20)
+    with sized(spark, 100 * 2**40):
+        assert int(spark.conf.get("spark.sql.files.maxPartitionBytes")) > 500 * 2**20
+    with sized(spark, 10):
+        assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert total_bytes([spark.range(10)]) == 80
 
 
 def test_object_store_conf():
