@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stratalake.operators.sizes import looks_small
 
@@ -14,6 +15,18 @@ LANES = 4096
 _LANE = "__lane"
 
 
+_EXACT_TYPES = (
+    T.StringType(), T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType(), T.BooleanType(),
+    T.DateType(), T.TimestampType(), T.TimestampNTZType(), T.BinaryType(),
+)
+
+
+def _hash_agrees(left: DataFrame, right: DataFrame, name: str) -> bool:
+    """Whether equal keys are sure to have equal hashes: one exact type on both sides."""
+    kind = left.schema[name].dataType
+    return kind == right.schema[name].dataType and kind in _EXACT_TYPES
+
+
 def splittable_join(
     left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner"
 ) -> DataFrame:
@@ -25,7 +38,12 @@ def splittable_join(
     partitioning covers, so both sides are exchanged right before the join. It is a function of
     the key, hence equal on both sides, except for rows with a NULL key: those match nothing, and
     the lane spreads them over the cluster instead of piling them onto one task.
+
+    Keys whose equality is wider than their hash (mixed types, floating point, collated text) are
+    joined without a lane.
     """
+    if not all(_hash_agrees(left, right, name) for name in on):
+        return left.join(right, list(on), how)
     keys = [F.col(name) for name in on]
     key_lane = F.pmod(F.xxhash64(*keys), F.lit(LANES))
     null_key = reduce(Column.__or__, [key.isNull() for key in keys])

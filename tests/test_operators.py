@@ -77,6 +77,18 @@ def test_hot_key_is_split_next_to_an_aggregate(spark, conf, how):
     assert joined.exceptAll(plain.select(*joined.columns)).count() == 0
 
 
+@pytest.mark.parametrize(
+    ("left", "right"),
+    [("int", "bigint"), ("double", "double"), ("decimal(5,1)", "decimal(7,3)"), ("date", "string")],
+)
+def test_keys_with_wider_equality_still_match(rows, left, right):
+    value = {"int": "1", "double": "-0.0", "decimal(5,1)": "1.0", "date": "2024-01-01"}[left]
+    other = {"double": "0.0"}.get(left, value)
+    fact = rows("k string, v int", (value, 7)).withColumn("k", F.col("k").cast(left))
+    members = rows("k string", (other,)).withColumn("k", F.col("k").cast(right))
+    assert [r.v for r in joins.splittable_join(fact, members, ["k"]).collect()] == [7]
+
+
 def test_null_keys_are_spread(spark, conf):
     small_splits(conf)
     fact = spark.range(0, 20_000, 1, 4).select("id", F.lit(None).cast("string").alias("k"))
