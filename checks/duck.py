@@ -164,8 +164,8 @@ CTES |= {
                      round(total_size_bytes / 1099511627776.0 * 900000.0, 6) as scan_cost,
                      round(optimized_scan_bytes / 1099511627776.0 * 900000.0, 6)
                          as optimized_scan_cost
-              from (select *, cast(trunc(cast(total_size_bytes as double) * 0.35::double * 0.25::double) as bigint)
-                        as optimized_scan_bytes from profile))""",
+              from (select *, cast(trunc(total_size_bytes::double * 0.35::double * 0.25::double)
+                        as bigint) as optimized_scan_bytes from profile))""",
 }
 
 

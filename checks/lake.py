@@ -11,7 +11,6 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 
 from checks.raw_entities import RAW_SQL, TABLES
-from stratalake.functions import columns as c
 from stratalake.plans import bronze, gold, silver
 from stratalake.plans.frames import Frames, Star
 from stratalake.sources.raw import join_path

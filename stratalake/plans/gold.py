@@ -99,7 +99,7 @@ def valid_events(events: DataFrame) -> DataFrame:
 
 
 def known_campaign(frame: DataFrame, campaigns: DataFrame) -> DataFrame:
-    """``campaign_id`` kept where the campaign exists, NULL otherwise; the row count is unchanged."""
+    """``campaign_id`` kept where the campaign exists, NULL otherwise; no row is added or lost."""
     known = campaigns.select(
         "campaign_id", F.col("campaign_id").alias("__known")
     ).filter(F.col("campaign_id").isNotNull()).distinct()

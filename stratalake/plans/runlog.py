@@ -123,7 +123,8 @@ def append_run(spark: SparkSession, history_path: str, run: Run) -> None:
 
 def read_history(spark: SparkSession, history_path: str) -> DataFrame:
     """All runs, newest first."""
-    return spark.read.schema(RUN_SCHEMA).json(history_path).orderBy(F.desc("started_at"), "job_name")
+    runs = spark.read.schema(RUN_SCHEMA).json(history_path)
+    return runs.orderBy(F.desc("started_at"), "job_name")
 
 
 def history_summary(runs: DataFrame) -> DataFrame:

@@ -1,8 +1,8 @@
 """Layer runs: the only place where actions happen. Paths are URIs, local or object store.
 
 Entities do not depend on each other, so their jobs are submitted side by side and small ones do
-not leave the cluster idle. Row counts come from ``Observation`` metrics of the write itself. They sit in the stage that
-writes, where Spark counts every task once however often it is retried.
+not leave the cluster idle. Row counts come from ``Observation`` metrics of the write itself. They
+sit in the stage that writes, where Spark counts every task once however often it is retried.
 """
 
 from __future__ import annotations

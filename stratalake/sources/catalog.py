@@ -27,7 +27,9 @@ def publish_gold(spark: SparkSession, gold_root: str, database: str = GOLD_DB) -
         spark.sql(f"DROP TABLE IF EXISTS {target}")
         schema = spark.read.parquet(join_path(gold_root, name)).schema
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-        parts = f"PARTITIONED BY ({', '.join(table.partitioned_by)})" if table.partitioned_by else ""
+        parts = ""
+        if table.partitioned_by:
+            parts = f"PARTITIONED BY ({', '.join(table.partitioned_by)})"
         location = join_path(gold_root, name).replace("'", "\\'")
         spark.sql(f"CREATE TABLE {target} ({columns}) USING parquet {parts} LOCATION '{location}'")
         if table.partitioned_by:

@@ -1,4 +1,4 @@
-"""Joins, dedup and attribution on hot, NULL, orphan and repeated keys, and the plans behind them."""
+"""Joins, dedup and attribution on hot, NULL, orphan and repeated keys, and their plans."""
 
 from __future__ import annotations
 
