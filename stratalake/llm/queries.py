@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import line_quality, secret_scan
+from stratalake.llm import line_quality, packing, secret_scan
 from stratalake.llm.common import digest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,3 +47,9 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", *(F.size(of_kinds("secrets", (k,))).cast("long").alias(f"n_{k}") for k in kinds),
         digest(joined_spans(of_kinds("secrets", kinds))).alias("base_sha256"),
         joined_spans("secrets").alias("spans"))
+
+
+@query
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))

@@ -16,7 +16,9 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -51,7 +53,7 @@ BASE_RULES = (
     Rule("assign", r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*"""
          r"""["']?([A-Za-z0-9+/_.=-]+)""", least=12, group=2, any_case=True),
     Rule("access", r"AKIA[A-Z0-9]+", least=18),
-    Rule("hex", r"[0-9a-f]+", least=16),
+    Rule("hex", r"[0-9a-f]{16,}"),  # whole runs, as [0-9a-f]+ of 16 or more
 )
 # Published token formats of well-known services.
 MORE_RULES = (
@@ -65,24 +67,37 @@ MORE_RULES = (
 RULES = (*BASE_RULES, *MORE_RULES)
 
 
-def _postings(docs: DataFrame, id_col: str, text_col: str, wanted: list[str]) -> DataFrame:
-    """The inverted index: one row per document and wanted trigram that it contains."""
-    keys = [(name, name.encode()) for name in wanted]
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[ord("A"):ord("Z") + 1] += 32
+
+
+@lru_cache(maxsize=2)
+def _lookup(wanted: tuple[str, ...]) -> np.ndarray:
+    """For every three bytes the place of their trigram in ``wanted``, from 1; else 0."""
+    table = np.zeros(1 << 24, np.uint16)
+    for place, (a, b, c) in enumerate((name.encode() for name in wanted), start=1):
+        table[a | b << 8 | c << 16] = place
+    return table
 
-    def build(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        places, found = [], []
-        for place, text in enumerate(utf8(batch.column("text"))):
-            low = text.lower()  # of bytes: A-Z only
-            have = [name for name, key in keys if key in low]
-            places += [place] * len(have)
-            found += have
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("id").take(pa.array(places, pa.int64())), pa.array(found, pa.string())],
-            names=["id", "trigram"])
 
+def _index(batch: pa.RecordBatch, wanted: tuple[str, ...]) -> Iterator[pa.RecordBatch]:
+    texts = utf8(batch.column("text"))
+    ends = np.cumsum([len(text) + 1 for text in texts])
+    # No UTF-8 text holds the separating byte, so no trigram spans two texts.
+    data = _LOWER[np.frombuffer(b"\xff".join([*texts, b"\xff"]), np.uint8)].astype(np.uint32)
+    place = _lookup(wanted)[data[:-2] | data[1:-1] << 8 | data[2:] << 16]
+    at = np.flatnonzero(place)
+    key = np.unique(np.searchsorted(ends, at, side="right") << 16 | place[at])
+    yield pa.RecordBatch.from_arrays(
+        [batch.column("id").take(pa.array(key >> 16)),
+         pa.array(wanted).take(pa.array((key & 0xFFFF) - 1))], names=["id", "trigram"])
+
+
+def _postings(docs: DataFrame, id_col: str, text_col: str, wanted: tuple[str, ...]) -> DataFrame:
+    """The inverted index: one row per document and wanted trigram that it contains."""
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return source.mapInArrow(arrow_batches(build), source.select("id").schema.add(
-        "trigram", "string"))
+    return source.mapInArrow(arrow_batches(lambda batch: _index(batch, wanted)),
+                             source.select("id").schema.add("trigram", "string"))
 
 
 def candidates(
@@ -91,7 +106,7 @@ def candidates(
     """(id, rules): per document the indexed rules whose trigram query its postings satisfy."""
     queries = {rule.kind: trigram_query(rule.pattern) for rule in rules}
     queries = {kind: query for kind, query in queries.items() if query is not None}
-    wanted = sorted(set().union(*map(trigrams, queries.values()))) if queries else []
+    wanted = tuple(sorted(set().union(*map(trigrams, queries.values()))))
     if not wanted:
         return docs.select(F.col(id_col).alias("id"), F.array().cast("array<string>").alias(
             "rules")).limit(0)

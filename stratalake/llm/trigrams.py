@@ -1,7 +1,7 @@
 """Boolean trigram queries: what a text must contain if a regular expression is to match in it.
 
 A query is ``None`` (no condition), a trigram, or ``("and" | "or", [queries])``. Trigrams are in
-lower case, so they hold for patterns in either case when looked up in lower-cased text.
+lower case, so they hold for patterns in either case when looked up in lower-cased text; only ASCII ones are asked for.
 """
 
 from __future__ import annotations
@@ -39,7 +39,8 @@ def _join(kind: str, parts: list[Query]) -> Query:
 
 def _of_strings(strings: set[str]) -> Query:
     return _join("or", [
-        _join("and", [s[i:i + 3] for i in range(len(s) - 2)]) for s in sorted(strings)])
+        _join("and", [s[i:i + 3] for i in range(len(s) - 2) if s[i:i + 3].isascii()])
+        for s in sorted(strings)])
 
 
 def _class(items: list) -> set[str] | None:
