@@ -14,16 +14,19 @@ empty table gives an empty result; only the id and the text column are read.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from stratalake.llm.common import arrow_batches, utf8
+from stratalake.llm.common import stored, utf8, width
 
 #: Distinct words that a worker's encoder remembers before it starts anew.
 CACHED_WORDS = 200_000
@@ -46,6 +49,15 @@ def encode_words(path: str, words: list[bytes]) -> list[np.ndarray]:
     return [np.array(one.ids, "<u4") for one in found]
 
 
+@lru_cache(maxsize=2)
+def piece_table(path: str) -> list[bytes]:
+    """The piece of every id; decoding joins pieces by a space, as the vocabulary has no decoder."""
+    loaded = tokenizer(path)
+    if loaded.decoder is not None:
+        raise ValueError("only vocabularies without a decoder step are supported")
+    return [(loaded.id_to_token(i) or "").encode() for i in range(loaded.get_vocab_size())]
+
+
 class WordEncoder:
     """Ids of single texts with a bounded memory of words; for use inside one task."""
 
@@ -63,3 +75,157 @@ class WordEncoder:
             for word, ids in zip(missing, encode_words(self.path, missing)):
                 self.known[word] = ids.tobytes()
         return b"".join(map(self.known.__getitem__, words))
+
+
+def _packed_ints(values: np.ndarray) -> bytes:
+    """Unsigned 32-bit numbers, one byte plane after the other, compressed."""
+    planes = np.ascontiguousarray(values, "<u4").view(np.uint8).reshape(-1, 4).T
+    return zstandard.compress(planes.tobytes(), 3)
+
+
+def _unpacked_ints(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).reshape(-1).view("<u4")
+
+
+_COLUMNS = ["chunk", "bucket", "id", "places", "words"]
+
+
+def _chunk_rows(
+    ids: list[pa.Array], texts: list[bytes], buckets: int
+) -> Iterator[pa.RecordBatch]:
+    """Each text as the places of its words, then the chunk's distinct words by bucket."""
+    known: dict[bytes, int] = {}
+    places, name = [], hashlib.blake2b(digest_size=8)
+    for text in texts:
+        name.update(len(text).to_bytes(8, "little") + text)
+        words = text.split()
+        for word in words:
+            if word not in known:
+                known[word] = len(known)
+        places.append(_packed_ints(np.array([known[word] for word in words], "<u4")))
+    chunk, n = int.from_bytes(name.digest(), "little", signed=True), len(texts)
+    yield pa.RecordBatch.from_arrays(
+        [pa.array([chunk] * n, pa.int64()), pa.nulls(n, pa.int32()), pa.concat_arrays(ids),
+         pa.array(places, pa.binary()), pa.nulls(n, pa.binary())], names=_COLUMNS)
+    if not known:
+        return
+    words = np.array(list(known), object)
+    bucket = np.fromiter(map(zlib.crc32, known), np.int64, len(known)) % buckets
+    order = np.argsort(bucket, kind="stable")
+    used, begin = np.unique(bucket[order], return_index=True)
+    parts, n = np.split(order, begin[1:]), len(used)
+    yield pa.RecordBatch.from_arrays(
+        [pa.array([chunk] * n, pa.int64()), pa.array(used, pa.int32()), pa.nulls(n, ids[0].type),
+         pa.array([_packed_ints(np.diff(part, prepend=0)) for part in parts], pa.binary()),
+         pa.array([zstandard.compress(b" ".join(words[part]), 3) for part in parts], pa.binary())],
+        names=_COLUMNS)
+
+
+def _chunked(docs: DataFrame, id_col: str, text_col: str, buckets: int) -> DataFrame:
+    """Rows of texts (``bucket`` is NULL) and rows of distinct words, both under their chunk.
+
+    The chunk's number is a hash of its texts. Equal chunks therefore share a number, a word list
+    and places, and may be mixed freely.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, texts, size = [], [], 0
+        for batch in batches:
+            for at in range(0, batch.num_rows, 64):
+                part = batch.slice(at, 64)
+                more = utf8(part.column("text"))
+                ids.append(part.column("id"))
+                texts += more
+                size += sum(map(len, more))
+                if size > CHUNK_BYTES:
+                    yield from _chunk_rows(ids, texts, buckets)
+                    ids, texts, size = [], [], 0
+        if texts:
+            yield from _chunk_rows(ids, texts, buckets)
+
+    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    schema = source.select(F.lit(0).cast("long").alias("chunk"), F.lit(0).alias("bucket"), "id",
+                           F.lit(b"").alias("places"), F.lit(b"").alias("words")).schema
+    return source.mapInArrow(run, T.StructType([
+        T.StructField(field.name, field.dataType, True) for field in schema]))
+
+
+def _encode_bucket(rows: pa.Table, path: str) -> pa.Table:
+    """Encodes every distinct word of a bucket once and answers all chunks that hold it."""
+    lists = [zstandard.decompress(data).split(b" ") for data in rows.column("words").to_pylist()]
+    known: dict[bytes, int] = {}
+    for words in lists:
+        for word in words:
+            if word not in known:
+                known[word] = len(known)
+    distinct, found = list(known), []
+    for begin in range(0, len(distinct), 10_000):
+        found += encode_words(path, distinct[begin:begin + 10_000])
+    sizes, ids = [], []
+    for words in lists:
+        own = [found[known[word]] for word in words]
+        sizes.append(_packed_ints(np.array([len(x) for x in own], "<u4")))
+        ids.append(_packed_ints(np.concatenate(own)))
+    return pa.table({"chunk": rows.column("chunk"), "places": rows.column("places"),
+                     "sizes": pa.array(sizes, pa.binary()), "ids": pa.array(ids, pa.binary())})
+
+
+def _by_position(texts: pa.Table, answers: pa.Table, pieces: list[bytes]) -> pa.Table:
+    """A chunk's texts as ids, and decoded through the table of pieces."""
+    place = [np.cumsum(_unpacked_ints(x).astype(np.int64)) for x in
+             answers.column("places").to_pylist()]
+    sizes = [_unpacked_ints(x).astype(np.int64) for x in answers.column("sizes").to_pylist()]
+    flat = [_unpacked_ints(x) for x in answers.column("ids").to_pylist()]
+    total = 1 + max((int(p[-1]) for p in place), default=-1)
+    count, start, decoded, base = (
+        np.full(total, -1, np.int64), np.zeros(total, np.int64), [b""] * total, 0)
+    for where, size, ids in zip(place, sizes, flat):
+        ends = np.cumsum(size)
+        count[where], start[where] = size, base + ends - size
+        named = [pieces[i] for i in ids.tolist()]
+        for at, end, n in zip(where.tolist(), ends.tolist(), size.tolist()):
+            decoded[at] = b" ".join(named[end - n:end])
+        base += len(ids)
+    if (count < 0).any():
+        raise RuntimeError("a chunk lacks ids of some of its words")
+    ids = np.concatenate([np.zeros(0, "<u4"), *flat])
+    values, lengths, plain = [np.zeros(0, "<u4")], [], []
+    empty = bool((count == 0).any())
+    for data in texts.column("places").to_pylist():
+        at = _unpacked_ints(data)
+        size = count[at]
+        ends = np.cumsum(size)
+        n = int(ends[-1]) if len(ends) else 0
+        values.append(ids[np.arange(n) + np.repeat(start[at] - ends + size, size)])
+        lengths.append(n)
+        if empty:
+            at = at[size > 0]
+        plain.append(b" ".join([decoded[i] for i in at.tolist()]))
+    offsets = pa.array(np.concatenate(([0], np.cumsum(lengths))), pa.int32())
+    return pa.table({
+        "id": texts.column("id"),
+        "ids": pa.ListArray.from_arrays(offsets, pa.array(
+            np.concatenate(values).astype(np.int32), pa.int32()),
+            type=pa.list_(pa.field("element", pa.int32()))),
+        "decoded": pa.array(plain, pa.binary()).cast(pa.string())})
+
+
+def encoded(
+    docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """Per document its id, ``ids`` and ``decoded``, the text that the ids decode to."""
+    chunked = stored(_chunked(docs, id_col, text_col, 2 * width(docs)))
+    texts = chunked.where("bucket is null").select("chunk", "id", "places")
+    answers = chunked.where("bucket is not null").select(
+        "bucket", "chunk", "places", "words").groupBy("bucket").applyInArrow(
+            lambda rows: _encode_bucket(rows, tokenizer_path),
+            "chunk long, places binary, sizes binary, ids binary")
+
+    def finish(texts: pa.Table, answers: pa.Table) -> pa.Table:
+        return _by_position(texts, answers, piece_table(tokenizer_path))
+
+    schema = texts.select("id").schema.add("ids", T.ArrayType(T.IntegerType())).add(
+        "decoded", "string")
+    return texts.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
+        finish, schema).withColumnRenamed("id", id_col)

@@ -59,7 +59,7 @@ def pieces(
         yield from arrow_batches(build)(batches)
 
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    schema = source.select("id").schema.add("piece", "int")
+    schema = source.select("id").schema.add("piece", "integer")
     for name in ("start", "length", "ids_crc32"):
         schema = schema.add(name, "long")
     return source.mapInArrow(run, schema)
@@ -122,8 +122,8 @@ class Plan:
         self.runs: list[tuple[int, int, int, int, int]] = []
         #: (room left, first sequence, sequences, offset), sorted: best fit is the next one up.
         self.open: list[tuple[int, int, int, int]] = []
-        large = int(self.ends[self.lengths > capacity * large_share].max(initial=0))
         whole = int(self.ends[self.lengths == capacity].max(initial=0))
+        large = max(whole, int(self.ends[self.lengths > capacity * large_share].max(initial=0)))
         self._add(0, whole, capacity, 1, 0)
         left = self._grouped(whole, large, groups) if large > whole else []
         for first, last in [*left, (large, int(self.ends[-1]) if len(self.ends) else 0)]:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import line_quality, packing, secret_scan
+from stratalake.llm import bpe, line_quality, packing, secret_scan
 from stratalake.llm.common import digest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,3 +53,13 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(
         table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = bpe.encoded(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    decimal = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return found.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        digest(decimal).alias("ids_sha256"), digest(F.col("decoded")).alias("decoded_sha256"))
