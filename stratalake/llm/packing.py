@@ -30,7 +30,9 @@ from stratalake.llm.common import arrow_batches, stored, utf8, width
 
 CAPACITY, END_ID = 2048, 0
 #: Pieces longer than this share of a sequence are grouped; the rest is filled in by best fit.
-LARGE_SHARE, GROUPS = 1 / 8, 48
+LARGE_SHARE, GROUPS = 1 / 4, 96
+#: Configurations that leave more room than this are not used; best fit does better there.
+LEAST_FILL = 0.995
 
 
 def pieces(
@@ -68,18 +70,17 @@ def pieces(
 def _best_pattern(sizes: np.ndarray, worth: np.ndarray, capacity: int) -> np.ndarray:
     """The configuration of greatest worth that fits (an unbounded knapsack)."""
     value, taken = np.zeros(capacity + 1), np.full(capacity + 1, -1)
-    for room in range(int(sizes.min()), capacity + 1):
-        value[room], taken[room] = value[room - 1], -1
-        fits = np.flatnonzero(sizes <= room)
-        gain = value[room - sizes[fits]] + worth[fits]
-        best = int(np.argmax(gain))
-        if gain[best] > value[room] + 1e-12:
-            value[room], taken[room] = gain[best], fits[best]
-    pattern, room = np.zeros(len(sizes)), capacity
-    while room > 0:
-        if taken[room] < 0:
-            room -= 1
-            continue
+    for k in np.argsort(-worth / sizes):
+        size = int(sizes[k])
+        for _ in range(capacity // size):
+            gain = value[:-size] + worth[k]
+            better = gain > value[size:] + 1e-12
+            if not better.any():
+                break
+            value[size:][better] = gain[better]
+            taken[size:][better] = k
+    pattern, room = np.zeros(len(sizes)), int(np.argmax(value))
+    while taken[room] >= 0:
         pattern[taken[room]] += 1
         room -= sizes[taken[room]]
     return pattern
@@ -155,6 +156,8 @@ class Plan:
         columns, use = configurations(sizes, demand, self.capacity)
         free = [a for a, _ in bounds]
         for column, times in zip(columns.T.round().astype(int), np.floor(use + 1e-9).astype(int)):
+            if column @ sizes < self.capacity * LEAST_FILL:
+                continue
             slots = []
             for g in np.flatnonzero(column)[::-1]:
                 for _ in range(column[g]):

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import bpe, line_quality, packing, secret_scan
+from stratalake.llm import bpe, line_quality, packing, secret_scan, substring
 from stratalake.llm.common import digest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,3 +63,10 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         digest(decimal).alias("ids_sha256"), digest(F.col("decoded")).alias("decoded_sha256"))
+
+
+@query
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring.without_repeats(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_words", "n_removed", digest(F.col("kept_text")).alias("kept_sha256"))
