@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import bpe, line_quality, packing, secret_scan, substring
+from stratalake.llm import bpe, line_quality, packing, secret_scan, simhash, substring
 from stratalake.llm.common import digest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,3 +70,10 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring.without_repeats(table(spark, sf_dir, "documents"))
     return found.select(
         "doc_id", "n_words", "n_removed", digest(F.col("kept_text")).alias("kept_sha256"))
+
+
+@query
+def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id")
