@@ -31,7 +31,7 @@ from stratalake.llm.common import stored, utf8, width
 #: Distinct words that a worker's encoder remembers before it starts anew.
 CACHED_WORDS = 200_000
 #: Texts of about so many bytes share one list of distinct words.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 12 << 20
 
 
 @lru_cache(maxsize=2)
@@ -88,26 +88,30 @@ def _unpacked_ints(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).reshape(-1).view("<u4")
 
 
-_COLUMNS = ["chunk", "bucket", "id", "places", "words"]
+_COLUMNS = ["chunk", "bucket", "ids", "counts", "places", "words"]
 
 
 def _chunk_rows(
-    ids: list[pa.Array], texts: list[bytes], buckets: int
+    ids: list[pa.Array], texts: list[bytes], buckets: int, kind: pa.DataType
 ) -> Iterator[pa.RecordBatch]:
-    """Each text as the places of its words, then the chunk's distinct words by bucket."""
+    """One row of the texts as places of their words, then the distinct words by bucket."""
     known: dict[bytes, int] = {}
-    places, name = [], hashlib.blake2b(digest_size=8)
+    places, counts, name = [], [], hashlib.blake2b(digest_size=8)
     for text in texts:
         name.update(len(text).to_bytes(8, "little") + text)
         words = text.split()
         for word in words:
             if word not in known:
                 known[word] = len(known)
-        places.append(_packed_ints(np.array([known[word] for word in words], "<u4")))
-    chunk, n = int.from_bytes(name.digest(), "little", signed=True), len(texts)
+        places.append(np.array([known[word] for word in words], "<u4"))
+        counts.append(len(words))
+    chunk, own = int.from_bytes(name.digest(), "little", signed=True), pa.concat_arrays(ids)
     yield pa.RecordBatch.from_arrays(
-        [pa.array([chunk] * n, pa.int64()), pa.nulls(n, pa.int32()), pa.concat_arrays(ids),
-         pa.array(places, pa.binary()), pa.nulls(n, pa.binary())], names=_COLUMNS)
+        [pa.array([chunk], pa.int64()), pa.nulls(1, pa.int32()),
+         pa.ListArray.from_arrays(pa.array([0, len(own)], pa.int32()), own, type=kind),
+         pa.array([_packed_ints(np.array(counts, "<u4"))], pa.binary()),
+         pa.array([_packed_ints(np.concatenate(places))], pa.binary()), pa.nulls(1, pa.binary())],
+        names=_COLUMNS)
     if not known:
         return
     words = np.array(list(known), object)
@@ -116,7 +120,8 @@ def _chunk_rows(
     used, begin = np.unique(bucket[order], return_index=True)
     parts, n = np.split(order, begin[1:]), len(used)
     yield pa.RecordBatch.from_arrays(
-        [pa.array([chunk] * n, pa.int64()), pa.array(used, pa.int32()), pa.nulls(n, ids[0].type),
+        [pa.array([chunk] * n, pa.int64()), pa.array(used, pa.int32()), pa.nulls(n, kind),
+         pa.nulls(n, pa.binary()),
          pa.array([_packed_ints(np.diff(part, prepend=0)) for part in parts], pa.binary()),
          pa.array([zstandard.compress(b" ".join(words[part]), 3) for part in parts], pa.binary())],
         names=_COLUMNS)
@@ -132,6 +137,7 @@ def _chunked(docs: DataFrame, id_col: str, text_col: str, buckets: int) -> DataF
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, texts, size = [], [], 0
         for batch in batches:
+            kind = pa.list_(pa.field("element", batch.column("id").type))
             for at in range(0, batch.num_rows, 64):
                 part = batch.slice(at, 64)
                 more = utf8(part.column("text"))
@@ -139,16 +145,18 @@ def _chunked(docs: DataFrame, id_col: str, text_col: str, buckets: int) -> DataF
                 texts += more
                 size += sum(map(len, more))
                 if size > CHUNK_BYTES:
-                    yield from _chunk_rows(ids, texts, buckets)
+                    yield from _chunk_rows(ids, texts, buckets, kind)
                     ids, texts, size = [], [], 0
         if texts:
-            yield from _chunk_rows(ids, texts, buckets)
+            yield from _chunk_rows(ids, texts, buckets, kind)
 
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    schema = source.select(F.lit(0).cast("long").alias("chunk"), F.lit(0).alias("bucket"), "id",
-                           F.lit(b"").alias("places"), F.lit(b"").alias("words")).schema
-    return source.mapInArrow(run, T.StructType([
-        T.StructField(field.name, field.dataType, True) for field in schema]))
+    binary = T.BinaryType()
+    schema = T.StructType().add("chunk", "long").add("bucket", "integer").add(
+        "ids", T.ArrayType(source.schema["id"].dataType))
+    for name in ("counts", "places", "words"):
+        schema = schema.add(name, binary)
+    return source.mapInArrow(run, schema)
 
 
 def _encode_bucket(rows: pa.Table, path: str) -> pa.Table:
@@ -192,19 +200,21 @@ def _by_position(texts: pa.Table, answers: pa.Table, pieces: list[bytes]) -> pa.
     ids = np.concatenate([np.zeros(0, "<u4"), *flat])
     values, lengths, plain = [np.zeros(0, "<u4")], [], []
     empty = bool((count == 0).any())
-    for data in texts.column("places").to_pylist():
-        at = _unpacked_ints(data)
-        size = count[at]
-        ends = np.cumsum(size)
-        n = int(ends[-1]) if len(ends) else 0
-        values.append(ids[np.arange(n) + np.repeat(start[at] - ends + size, size)])
-        lengths.append(n)
-        if empty:
-            at = at[size > 0]
-        plain.append(b" ".join([decoded[i] for i in at.tolist()]))
+    for counts, data in zip(texts.column("counts").to_pylist(), texts.column("places").to_pylist()):
+        ends = np.cumsum(_unpacked_ints(counts).astype(np.int64))
+        for at in np.split(_unpacked_ints(data), ends[:-1]):
+            size = count[at]
+            ends = np.cumsum(size)
+            n = int(ends[-1]) if len(ends) else 0
+            values.append(ids[np.arange(n) + np.repeat(start[at] - ends + size, size)])
+            lengths.append(n)
+            if empty:
+                at = at[size > 0]
+            plain.append(b" ".join([decoded[i] for i in at.tolist()]))
     offsets = pa.array(np.concatenate(([0], np.cumsum(lengths))), pa.int32())
+    owners = [part.flatten() for part in texts.column("ids").chunks]
     return pa.table({
-        "id": texts.column("id"),
+        "id": pa.chunked_array(owners, texts.column("ids").type.value_type),
         "ids": pa.ListArray.from_arrays(offsets, pa.array(
             np.concatenate(values).astype(np.int32), pa.int32()),
             type=pa.list_(pa.field("element", pa.int32()))),
@@ -216,7 +226,7 @@ def encoded(
 ) -> DataFrame:
     """Per document its id, ``ids`` and ``decoded``, the text that the ids decode to."""
     chunked = stored(_chunked(docs, id_col, text_col, 2 * width(docs)))
-    texts = chunked.where("bucket is null").select("chunk", "id", "places")
+    texts = chunked.where("bucket is null").select("chunk", "ids", "counts", "places")
     answers = chunked.where("bucket is not null").select(
         "bucket", "chunk", "places", "words").groupBy("bucket").applyInArrow(
             lambda rows: _encode_bucket(rows, tokenizer_path),
@@ -225,7 +235,7 @@ def encoded(
     def finish(texts: pa.Table, answers: pa.Table) -> pa.Table:
         return _by_position(texts, answers, piece_table(tokenizer_path))
 
-    schema = texts.select("id").schema.add("ids", T.ArrayType(T.IntegerType())).add(
+    schema = docs.select(F.col(id_col).alias("id")).schema.add("ids", T.ArrayType(T.IntegerType())).add(
         "decoded", "string")
     return texts.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
         finish, schema).withColumnRenamed("id", id_col)
