@@ -7,7 +7,7 @@ its document. So the blocks are the index, and every rolling window of the block
 1. Texts go to chunks by a hash of their id. Each chunk sends the distinct hashes of its probes to
    buckets, marked if they are also a block and if they occur twice.
 2. A bucket answers with the hashes that have a block and a second place. These are the hits.
-3. Around its hits a chunk tries all windows of full length and sends their 128-bit hashes to
+3. Around its hits a chunk tries all windows of full length and sends 95 bits of hash of each to
    buckets, which answer with those that start at two or more places.
 4. Adjacent repeated windows join to maximal repeats, whose words the chunk removes.
 
@@ -84,8 +84,9 @@ class _Chunk:
         return at[np.cumsum(edge[:-1])[at] > 0]
 
     def wide(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return (window_hashes(self.hashes, at, self.window),
-                window_hashes(self.hashes, at, self.window, wide=True))
+        """64 bits and 31 more, independent ones of the full windows."""
+        return (window_hashes(self.hashes, at, self.window), window_hashes(
+            self.hashes, at, self.window, wide=True) & np.uint64((1 << 31) - 1))
 
 
 def _bucket_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
@@ -154,7 +155,7 @@ def _values(answers: pa.Table, columns: int) -> tuple[np.ndarray, np.ndarray]:
 def _send_windows(
     key: tuple, rows: pa.Table, answers: pa.Table, window: int, buckets: int
 ) -> pa.Table:
-    none = _sent(None, np.zeros(0, np.int64), np.zeros((0, 17), np.uint8))
+    none = _sent(None, np.zeros(0, np.int64), np.zeros((0, 12), np.uint8))
     if not rows.num_rows or not answers.num_rows:
         return none
     chunk = _Chunk(utf8(rows.column("text").combine_chunks()), window)
@@ -171,30 +172,28 @@ def _send_windows(
     begin = np.flatnonzero(np.concatenate(
         ([True], (np.diff(first) != 0) | (np.diff(second) != 0))))
     twice = np.diff(np.append(begin, len(first))) > 1
-    first, second = first[begin], second[begin]
+    first, second = first[begin], second[begin] | twice.astype(np.uint64) << np.uint64(31)
     bucket = _bucket_of(first, buckets)
     order = np.argsort(bucket, kind="stable")
-    planes = np.hstack([_bytes_of(first, 8), _bytes_of(second, 8), twice[:, None].astype(np.uint8)])
+    planes = np.hstack([_bytes_of(first, 8), _bytes_of(second, 4)])
     return _sent(key[0].as_py(), bucket[order], planes[order])
 
 
-_WIDE = np.dtype([("first", "<u8"), ("second", "<u8")])
-
-
 def _answer_windows(rows: pa.Table) -> pa.Table:
-    """Per chunk the windows that start at two or more places."""
-    parts = [_unpack(x, 17) for x in rows.column("data").to_pylist()]
+    """Per chunk the first 64 bits of its windows that start at two or more places."""
+    parts = [_unpack(x, 12) for x in rows.column("data").to_pylist()]
     planes = np.concatenate(parts)
-    key = np.ascontiguousarray(planes[:, :16]).reshape(-1).view(_WIDE)
-    order = np.lexsort((key["second"], key["first"]))
-    own = key[order]
-    new = np.concatenate(([True], own[1:] != own[:-1]))
+    first, second = _number(planes[:, :8]), _number(planes[:, 8:])
+    value, twice = second & np.uint64((1 << 31) - 1), second >> np.uint64(31) > 0
+    order = np.lexsort((value, first))
+    new = np.concatenate((
+        [True], (np.diff(first[order]) != 0) | (np.diff(value[order]) != 0)))
     group = np.cumsum(new) - 1
     repeated = np.bincount(group) > 1
-    repeated[group[planes[order, 16] > 0]] = True
+    repeated[group[twice[order]]] = True
     hit = np.zeros(len(planes), bool)
     hit[order] = repeated[group]
-    return _answers(rows, [part[:, :16] for part in parts], hit, 16)
+    return _answers(rows, [part[:, :8] for part in parts], hit, 8)
 
 
 def _cut(rows: pa.Table, answers: pa.Table, window: int) -> pa.Table:
@@ -205,12 +204,10 @@ def _cut(rows: pa.Table, answers: pa.Table, window: int) -> pa.Table:
     if answers.num_rows:
         chunk = _Chunk(texts, window)
         at = window_starts(chunk.counts, window)
-        first, second = chunk.wide(at)
-        repeated = np.ascontiguousarray(_values(answers, 16)[1]).reshape(-1).view(_WIDE)
-        near = np.flatnonzero(np.isin(first, repeated["first"]))
-        both = np.empty(len(near), _WIDE)
-        both["first"], both["second"] = first[near], second[near]
-        gone = covered(at[near[np.isin(both, repeated)]], window, len(gone))
+        # A chunk's own windows number far too few for one to meet a wrong 64 bits.
+        repeated = _number(_values(answers, 8)[1])
+        found = np.isin(window_hashes(chunk.hashes, at, window), repeated)
+        gone = covered(at[found], window, len(gone))
     kept, removed, begin = [], [], 0
     for text, count in zip(texts, counts.tolist()):
         own = gone[begin:begin + count]
@@ -241,10 +238,11 @@ def without_repeats(
         F.pmod(F.xxhash64(id_col), F.lit(chunks)).cast("long").alias("chunk"),
         F.col(id_col).alias("id"), F.col(text_col).alias("text")).repartition(
             min(chunks, 4 * width(docs)), "chunk")
-    probes = texts.select("chunk", "text").groupBy("chunk").applyInArrow(
+    probes = texts.groupBy("chunk").applyInArrow(
         lambda key, rows: _send_probes(key, rows, window, buckets), _ENTRIES)
     hits = probes.groupBy("bucket").applyInArrow(_answer_probes, _ENTRIES)
-    windows = texts.select("chunk", "text").groupBy("chunk").cogroup(hits.groupBy("chunk")).applyInArrow(
+    # The three steps read the same columns of the texts, and so share one exchange of them.
+    windows = texts.groupBy("chunk").cogroup(hits.groupBy("chunk")).applyInArrow(
         lambda key, rows, answers: _send_windows(key, rows, answers, window, buckets), _ENTRIES)
     repeats = windows.groupBy("bucket").applyInArrow(_answer_windows, _ENTRIES)
     schema = texts.select("id").schema.add("n_words", "long").add("n_removed", "long").add(
