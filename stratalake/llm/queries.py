@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.llm import (
-    bpe, line_quality, line_spread, packing, secret_scan, simhash, substring)
+    bpe, cells, line_quality, line_spread, packing, secret_scan, simhash, substring)
 from stratalake.llm.common import digest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -115,3 +115,8 @@ select d.doc_id, coalesce(k.n_removed, 0) as n_removed_lines,
   length(coalesce(k.text, '')) as n_kept_chars, sha256(coalesce(k.text, '')) as kept_sha256
 from documents d left join kept k using (doc_id)
 """
+
+
+@query
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cells.near_duplicates(table(spark, sf_dir, "embeddings"))
