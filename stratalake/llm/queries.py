@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.llm import (
-    bpe, cells, line_quality, line_spread, packing, secret_scan, simhash, substring)
+    bpe, cells, line_quality, line_spread, packing, secret_scan, simhash, substring,
+    url_filter)
 from stratalake.llm.common import digest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -120,3 +121,8 @@ from documents d left join kept k using (doc_id)
 @query
 def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cells.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judged(table(spark, sf_dir, "pages"))
