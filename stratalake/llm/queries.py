@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.llm import (
-    bpe, cells, line_quality, line_spread, packing, secret_scan, simhash, substring,
+    bpe, cells, line_quality, line_spread, packing, pii, secret_scan, simhash, substring,
     url_filter)
 from stratalake.llm.common import digest
 
@@ -32,7 +32,7 @@ def joined_spans(spans: str | F.Column) -> F.Column:
         ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def of_kinds(spans: str, kinds: tuple[str, ...]) -> F.Column:
+def of_kinds(spans: str | F.Column, kinds: tuple[str, ...]) -> F.Column:
     return F.filter(spans, lambda s: s["kind"].isin(*kinds))
 
 
@@ -126,3 +126,13 @@ def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judged(table(spark, sf_dir, "pages"))
+
+
+@query
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.scan(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: ~s["added"])
+    return found.select(
+        "doc_id",
+        *(F.size(of_kinds(base, (k,))).cast("long").alias(f"n_{k}") for k in pii.KINDS),
+        digest(joined_spans(base)).alias("base_sha256"), joined_spans("spans").alias("spans"))
