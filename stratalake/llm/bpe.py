@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from stratalake.llm.common import stored, utf8, width
+from stratalake.llm.common import stored_by, utf8, width
 
 #: Distinct words that a worker's encoder remembers before it starts anew.
 CACHED_WORDS = 200_000
@@ -225,7 +225,8 @@ def encoded(
     docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """Per document its id, ``ids`` and ``decoded``, the text that the ids decode to."""
-    chunked = stored(_chunked(docs, id_col, text_col, 2 * width(docs)))
+    # Chunks lie in buckets, so their texts are written once and never shuffled.
+    chunked = stored_by(_chunked(docs, id_col, text_col, 2 * width(docs)), "chunk", width(docs))
     texts = chunked.where("bucket is null").select("chunk", "ids", "counts", "places")
     answers = chunked.where("bucket is not null").select(
         "bucket", "chunk", "places", "words").groupBy("bucket").applyInArrow(

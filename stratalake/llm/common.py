@@ -44,6 +44,19 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stored_by(df: DataFrame, key: str, buckets: int) -> DataFrame:
+    """As ``stored``, in buckets of ``key``: groups of it are then formed without a shuffle.
+
+    Only the catalogue entry is temporary; the frame keeps the files and their layout.
+    """
+    spark, name = df.sparkSession, f"llm_{uuid4().hex}"
+    df.write.bucketBy(buckets, key).option("path", shared_folder(spark)).saveAsTable(name)
+    table = spark.table(name)
+    table.schema  # resolves the table while its entry is there
+    spark.sql(f"DROP TABLE {name}")
+    return table
+
+
 def width(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
