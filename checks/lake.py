@@ -5,14 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 from functools import cached_property
-from tempfile import mkdtemp
-from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
 from checks.raw_entities import RAW_SQL, TABLES
 from stratalake.plans import bronze, gold, silver
 from stratalake.plans.frames import Frames, Star
+from stratalake.session import scratch_folder
 from stratalake.sources.raw import join_path
 
 RUN_AT = datetime(2024, 4, 1, 6, 30, 15)
@@ -23,11 +22,7 @@ class Lake:
         self.spark, self.sf_dir = spark, sf_dir.rstrip("/")
 
     def scratch(self, name: str) -> str:
-        """A fresh folder below the cluster's checkpoint folder; a local one only without it."""
-        shared = self.spark.conf.get("spark.checkpoint.dir", None)
-        if shared:
-            return join_path(shared, f"check-{uuid4().hex}", name)
-        return join_path(mkdtemp(prefix="run-", dir="/tmp"), name)
+        return join_path(scratch_folder(self.spark), name)
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
@@ -53,9 +48,3 @@ class Lake:
     @cached_property
     def star(self) -> Star:
         return Star(self.tables)
-
-    @cached_property
-    def plain_star(self) -> Star:
-        """For reports that never look at the campaign: sales without the attribution step."""
-        plain = gold.star_builders(self.silver, attributed=False)
-        return self.star.changed(fct_sales=lambda _: plain["fct_sales"]())

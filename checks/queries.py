@@ -553,17 +553,17 @@ CATEGORY_REVENUE_SQL = """
     from g_sales join g_dim_product using (product_id) group by category"""
 register(
     "d5_broadcast_join",
-    lambda lake: marts.revenue_by_category_broadcast(lake.plain_star),
+    lambda lake: marts.revenue_by_category_broadcast(lake.star),
     CATEGORY_REVENUE_SQL,
 )
 register(
     "d6_shuffle_join",
-    lambda lake: marts.naive_queries(lake.plain_star)["revenue_by_category"],
+    lambda lake: marts.naive_queries(lake.star)["revenue_by_category"],
     CATEGORY_REVENUE_SQL,
 )
 register(
     "d7_scale_multiplier",
-    lambda lake: marts.scaled(lake.plain_star, 3).fct_sales.groupBy("order_status").agg(
+    lambda lake: marts.scaled(lake.star, 3).fct_sales.groupBy("order_status").agg(
         F.sum("net_amount").alias("revenue_net"),
         F.count("*").alias("sales_rows"),
         F.count_distinct("order_id").alias("total_orders"),
@@ -993,19 +993,19 @@ REVENUE_SQL = """cast(sum(net_amount) as double) as revenue_net,
     cast(sum(quantity) as bigint) as units_sold"""
 register(
     "k1_revenue_by_category",
-    lambda lake: marts.revenue_by_category(lake.plain_star),
+    lambda lake: marts.revenue_by_category(lake.star),
     f"""select category, {REVENUE_SQL} from g_sales join g_dim_product using (product_id)
         group by category""",
 )
 register(
     "k2_revenue_by_month",
-    lambda lake: marts.revenue_by_month(lake.plain_star),
+    lambda lake: marts.revenue_by_month(lake.star),
     f"""select year, month, month_name, {REVENUE_SQL}, count(distinct order_id) as total_orders
         from g_sales join g_dim_date using (date_key) group by year, month, month_name""",
 )
 register(
     "k3_top_customers",
-    lambda lake: marts.top_customers(lake.plain_star),
+    lambda lake: marts.top_customers(lake.star),
     """select * replace (cast(revenue_net as double) as revenue_net)
        from (select customer_id, customer_name, city, state, sum(net_amount) as revenue_net,
                     count(distinct order_id) as total_orders,
@@ -1046,8 +1046,7 @@ BENCH_SQL = {
 
 
 def _bench(name: str, variant: Callable) -> Callable[[Lake], DataFrame]:
-    attributed = name == "revenue_by_campaign"
-    return lambda lake: variant(lake.star if attributed else lake.plain_star)[name]
+    return lambda lake: variant(lake.star)[name]
 
 
 for _id, _name in zip(("k7", "k8", "k9", "k10"), BENCH_SQL, strict=True):
@@ -1056,7 +1055,7 @@ for _id, _name in zip(("k7", "k8", "k9", "k10"), BENCH_SQL, strict=True):
 register(
     "k1_revenue_by_category_in_range",
     lambda lake: marts.revenue_by_category(
-        marts.between(lake.plain_star, "2024-01-05", "2024-01-19")),
+        marts.between(lake.star, "2024-01-05", "2024-01-19")),
     f"""select category, {REVENUE_SQL} from g_sales join g_dim_product using (product_id)
         where full_date between date '2024-01-05' and date '2024-01-19' group by category""",
 )
@@ -1198,7 +1197,7 @@ register(
 )
 register(
     "m3_single_small_result",
-    lambda lake: layout.single_file(marts.revenue_by_month(lake.plain_star)).select(
+    lambda lake: layout.single_file(marts.revenue_by_month(lake.star)).select(
         "year", "month", "revenue_net"),
     """select year, month, cast(sum(net_amount) as double) as revenue_net
        from g_sales join g_dim_date using (date_key) group by year, month""",

@@ -13,7 +13,7 @@ from stratalake.schemas import (
     UNKNOWN_CHANNEL,
 )
 
-# Surrogate keys are a 64-bit hash folded into 0 .. 2^63 - 2.
+# Surrogate keys are a 64-bit hash folded into 0 .. 2^63 - 2. Keys depend on them.
 KEY_SPACE = 2**63 - 1
 NULL_KEY_PART = "__null__"
 
@@ -117,12 +117,17 @@ def zero_if_null(name: str | Column) -> Column:
 # --- time -----------------------------------------------------------------------------------
 
 
+def _in_calendar(moment: Column) -> Column:
+    """NULL outside the years 1 to 9999, which no date key or calendar can hold."""
+    return F.when(F.year(moment).between(1, 9999), moment)
+
+
 def timestamp(name: str | Column) -> Column:
-    return col(name).try_cast("timestamp")
+    return _in_calendar(col(name).try_cast("timestamp"))
 
 
 def date(name: str | Column) -> Column:
-    return col(name).try_cast("date")
+    return _in_calendar(col(name).try_cast("date"))
 
 
 def date_key(day: Column) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 from functools import reduce
 
@@ -9,9 +10,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratalake.operators.sizes import looks_small
-
-LANES = 4096
 _LANE = "__lane"
 
 
@@ -40,28 +38,28 @@ def splittable_join(
     the lane spreads them over the cluster instead of piling them onto one task.
 
     Keys whose equality is wider than their hash (mixed types, floating point, collated text) are
-    joined without a lane.
+    joined without a lane. All of this needs adaptive execution; a warning says if it is off.
     """
+    conf = left.sparkSession.conf
+    if conf.get("spark.sql.adaptive.enabled") != "true":
+        warnings.warn("hot keys are not split while spark.sql.adaptive.enabled is off", stacklevel=2)
     if not all(_hash_agrees(left, right, name) for name in on):
         return left.join(right, list(on), how)
     keys = [F.col(name) for name in on]
-    key_lane = F.pmod(F.xxhash64(*keys), F.lit(LANES))
+    # Several lanes for each reducer, so that NULL keys reach all of them evenly.
+    lanes = F.lit(8 * int(conf.get("spark.sql.shuffle.partitions")))
+    key_lane = F.pmod(F.xxhash64(*keys), lanes)
     null_key = reduce(Column.__or__, [key.isNull() for key in keys])
-    row_lane = F.pmod(F.xxhash64(*[F.col(name) for name in left.columns]), F.lit(LANES))
+    row_lane = F.pmod(F.xxhash64(*[F.col(name) for name in left.columns]), lanes)
     spread = left.withColumn(_LANE, F.when(null_key, row_lane).otherwise(key_lane))
     return spread.join(right.withColumn(_LANE, key_lane), [*on, _LANE], how).drop(_LANE)
 
 
 def lookup_join(
-    fact: DataFrame,
-    dimension: DataFrame,
-    on: Sequence[str],
-    how: str = "inner",
-    limit: int | None = None,
+    fact: DataFrame, dimension: DataFrame, on: Sequence[str], how: str = "inner"
 ) -> DataFrame:
-    """Join a fact to a dimension: Catalyst's broadcast while small, a splittable join beyond."""
-    if looks_small(dimension, limit):
-        return fact.join(dimension, list(on), how)
+    """Join a fact to a dimension. One plan shape: Catalyst and AQE broadcast a small dimension by
+    its size, and hot keys of a large one can be split."""
     return splittable_join(fact, dimension, on, how)
 
 
@@ -89,6 +87,8 @@ def orphans(
 
 def replicate(df: DataFrame, times: int) -> DataFrame:
     """Every row ``times`` times, generated in place: no join and no shuffle."""
+    if times < 1:
+        raise ValueError(f"the multiplier is at least 1, not {times}")
     if times == 1:
         return df
     copies = F.sequence(F.lit(1), F.lit(times))

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratalake.operators.joins import lookup_join
-from stratalake.operators.sizes import looks_small
 
 
 def sums_by_attribute(
@@ -18,20 +17,14 @@ def sums_by_attribute(
     attributes: Sequence[Column | str],
     sums: dict[str, str],
     how: str = "inner",
-    limit: int | None = None,
 ) -> DataFrame:
     """``sum(column) as name`` for each entry of ``sums``, grouped by dimension attributes.
 
-    While the dimension is small, Catalyst broadcasts it and the fact is aggregated in one pass.
-    Beyond that the fact is first summed per key: the partial sums shrink a hot key to one row per
-    task before any shuffle, and the join then runs on keys rather than on fact rows.
+    The fact is first summed per key: the partial sums shrink a hot key to one row per task before
+    any shuffle, and the join then runs on keys rather than on fact rows.
     """
-    if looks_small(dimension, limit):
-        joined = fact.join(dimension, key, how)
-        measures = [F.sum(column).alias(name) for name, column in sums.items()]
-        return joined.groupBy(*attributes).agg(*measures)
     per_key = fact.groupBy(key).agg(*[F.sum(column).alias(name) for name, column in sums.items()])
-    joined = lookup_join(per_key, dimension, [key], how, limit)
+    joined = lookup_join(per_key, dimension, [key], how)
     types = {name: per_key.schema[name].dataType for name in sums}
     totals = [F.sum(name).cast(types[name]).alias(name) for name in sums]
     return joined.groupBy(*attributes).agg(*totals)

@@ -24,12 +24,26 @@ def estimated_bytes(df: DataFrame) -> int | None:
 
 
 def total_bytes(frames: Iterable[DataFrame]) -> int:
-    """Estimated input of a job that reads all of ``frames``; unknown sizes count as nothing."""
-    return sum(estimated_bytes(df) or 0 for df in frames)
+    """Estimated input of a job that reads all of ``frames``; fails where a size is unknown.
 
+    A size counted as nothing would leave a large job with the session's default width. On Spark
+    Connect pass the bytes of a file listing to ``session.sized`` instead.
+    """
+    sizes = [estimated_bytes(df) for df in frames]
+    if None in sizes:
+        raise ValueError("input size unknown: give session.sized the bytes of the file listing")
+    return sum(sizes)
+
+
+def measured_bytes(df: DataFrame) -> int | None:
+    """Exact in-memory width of all rows, from one aggregate over ``df``.
 
-def measured_bytes(df: DataFrame) -> int:
-    """Exact in-memory width of all rows, from one aggregate over ``df``."""
+    None with an array, map, struct or variant column: such a value has no bound that is cheap to
+    measure, so it is never called small.
+    """
+    nested = (T.ArrayType, T.MapType, T.StructType, T.VariantType)
+    if any(isinstance(field.dataType, nested) for field in df.schema.fields):
+        return None
     width = F.lit(ROW_OVERHEAD)
     for field in df.schema.fields:
         if isinstance(field.dataType, (T.StringType, T.BinaryType)):
@@ -45,8 +59,7 @@ def auto_limit(spark: SparkSession) -> int:
 
 
 def looks_small(df: DataFrame, limit: int | None = None) -> bool:
-    """Whether Catalyst would broadcast ``df`` on its own. A plan-time estimate: use it to choose
-    a plan shape that gives the same rows either way."""
+    """Whether Catalyst would broadcast ``df`` on its own. It only gates an exact measurement."""
     size = estimated_bytes(df)
     return size is not None and size <= (auto_limit(df.sparkSession) if limit is None else limit)
 
@@ -57,6 +70,8 @@ def broadcast_if_bounded(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFra
     The estimate comes from compressed file sizes, so it only gates the exact measurement: a
     side that looks big is never scanned for this, one that looks small is measured.
     """
-    if looks_small(df, limit) and measured_bytes(df) <= limit:
-        return F.broadcast(df)
+    if looks_small(df, limit):
+        size = measured_bytes(df)
+        if size is not None and size <= limit:
+            return F.broadcast(df)
     return df

@@ -108,19 +108,18 @@ def known_campaign(frame: DataFrame, campaigns: DataFrame) -> DataFrame:
 
 
 def on_calendar(frame: DataFrame, calendar: DataFrame, day: str) -> DataFrame:
-    """Rows whose day is in the calendar. Days of four-digit years number at most 3.7 million, so
-    the distinct calendar may always be broadcast."""
-    days = calendar.select(F.col("full_date").alias(day)).distinct()
-    return frame.join(F.broadcast(days), day, "left_semi")
+    """Rows whose day is in the calendar, which Catalyst broadcasts by its size."""
+    days = calendar.select(F.col("full_date").alias(day))
+    return keep_known(frame, days, day)
 
 
 def order_heads(
     orders: DataFrame,
     customers: DataFrame,
-    touches: DataFrame | None,
+    touches: DataFrame,
     calendar: DataFrame | None = None,
 ) -> DataFrame:
-    """Valid orders of known customers with their keys, and the last-touch campaign if asked for.
+    """Valid orders of known customers with their keys and the last-touch campaign.
 
     Everything that depends on the order alone is settled here, on the narrow side, so the item
     lines are shuffled by order only once. ``calendar`` may be left out: ``dim_date`` holds every
@@ -129,10 +128,7 @@ def order_heads(
     heads = keep_known(valid_orders(orders), customers, "customer_id")
     if calendar is not None:
         heads = on_calendar(heads, calendar, "sales_date")
-    if touches is None:
-        heads = heads.withColumn("campaign_id", F.lit(None).cast("string"))
-    else:
-        heads = splittable_join(heads, touches, ["customer_id", "sales_date"], "left")
+    heads = splittable_join(heads, touches, ["customer_id", "sales_date"], "left")
     return heads.select(
         "order_id",
         c.surrogate_key("customer_id").alias("customer_key"),
@@ -151,24 +147,25 @@ def fct_sales(
     silver: Mapping[str, DataFrame],
     customers: DataFrame,
     products: DataFrame,
-    campaigns: DataFrame | None,
+    campaigns: DataFrame,
     calendar: DataFrame | None = None,
 ) -> DataFrame:
     """One row per valid item of a valid order with a known customer and product.
 
     Dimension frames only prove that a member exists: keys are recomputed from the natural ids, so
-    no dimension column travels through a join and the shuffle carries 8-byte keys, not ids.
-    ``campaigns=None`` skips attribution for reports that never look at the campaign; it fills a
-    column and never adds or drops a row.
+    no dimension column travels through a join. Products are settled after the orders have thinned
+    the items, on 8-byte keys: so much smaller a set of members is broadcast for far larger
+    catalogues, and items are shuffled by order only.
     """
-    touches = None
-    if campaigns is not None:
-        touches = known_campaign(last_touch(silver["web_events"]), campaigns)
+    touches = known_campaign(last_touch(silver["web_events"]), campaigns)
     heads = order_heads(silver["orders"], customers, touches, calendar)
-    items = keep_known(valid_items(silver["order_items"]), products, "product_id")
-    items = items.withColumn("product_key", c.surrogate_key("product_id")).drop("product_id")
+    items = valid_items(silver["order_items"]).withColumn(
+        "product_key", F.when(F.col("product_id").isNotNull(), c.surrogate_key("product_id"))
+    ).drop("product_id")
     # Both sides are facts: never build one in memory, sort-merge spills and splits hot orders.
     lines = items.join(heads.hint("merge"), "order_id", "inner")
+    known = products.select(c.surrogate_key("product_id").alias("product_key"))
+    lines = keep_known(lines, known, "product_key")
     return _finish(
         "fct_sales", lines.withColumn("sales_key", c.surrogate_key("order_id", "order_item_id"))
     )
@@ -198,9 +195,7 @@ def fct_web_events(
     return _finish("fct_web_events", keyed)
 
 
-def star_builders(
-    silver: Mapping[str, DataFrame], attributed: bool = True
-) -> dict[str, Callable[[], DataFrame]]:
+def star_builders(silver: Mapping[str, DataFrame]) -> dict[str, Callable[[], DataFrame]]:
     """One builder per gold table, so that a caller plans only the tables it reads."""
 
     def members(entity: str) -> DataFrame:
@@ -212,10 +207,7 @@ def star_builders(
         "dim_campaign": lambda: dim_campaign(silver["campaigns"]),
         "dim_date": lambda: dim_date(silver["orders"], silver["web_events"]),
         "fct_sales": lambda: fct_sales(
-            silver,
-            members("customers"),
-            members("products"),
-            members("campaigns") if attributed else None,
+            silver, members("customers"), members("products"), members("campaigns")
         ),
         "fct_web_events": lambda: fct_web_events(
             silver, members("customers"), members("campaigns")

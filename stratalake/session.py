@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from contextlib import AbstractContextManager, contextmanager
+from tempfile import mkdtemp
+from uuid import uuid4
 
 from pyspark.sql import SparkSession
 
@@ -27,21 +29,16 @@ NAIVE = {
 PROFILES = {"tuned": TUNED, "naive": NAIVE}
 
 
-# Beyond this many reducers the shuffle index itself becomes the cost; partitions then grow and
-# sort-based operators spill. The same goes for scan tasks.
-MAX_SHUFFLE_PARTITIONS = 20_000
-MAX_SCAN_TASKS = 200_000
-
-
 def shuffle_partitions(input_bytes: int, target_bytes: int = 256 * MIB, minimum: int = 4) -> int:
     """Shuffle width for a job reading ``input_bytes``; AQE merges what turns out too small."""
-    return min(MAX_SHUFFLE_PARTITIONS, max(minimum, -(-input_bytes // target_bytes)))
+    return max(minimum, -(-input_bytes // target_bytes))
 
 
 def object_store_conf(
     endpoint: str, access_key: str, secret_key: str, path_style: bool = True
 ) -> dict[str, str]:
     """Hadoop settings for an S3-compatible store, ready for ``build_session(extra=...)``."""
+    # Hadoop's own setting names.
     return {
         "spark.hadoop.fs.s3a.endpoint": endpoint,
         "spark.hadoop.fs.s3a.access.key": access_key,
@@ -80,6 +77,19 @@ def build_session(
     return builder.getOrCreate()
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """A fresh folder that driver and executors share, below ``spark.checkpoint.dir``.
+
+    Only a local master may do without that setting and use the machine's own temporary folder.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared:
+        return f"{shared.rstrip('/')}/stratalake-{uuid4().hex}"
+    if not spark.conf.get("spark.master", "").startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return mkdtemp(prefix="run-", dir="/tmp")
+
+
 @contextmanager
 def _settings(spark: SparkSession, wanted: dict[str, str]) -> Iterator[SparkSession]:
     former = {key: spark.conf.get(key, None) for key in wanted}
@@ -105,22 +115,19 @@ def profile(
     return _settings(spark, wanted)
 
 
-def sized(spark: SparkSession, input_bytes: int) -> AbstractContextManager[SparkSession]:
-    """Widen shuffles and scan splits for a job over ``input_bytes``; never narrows a setting.
+def sized(
+    spark: SparkSession, input_bytes: int, target_bytes: int = 256 * MIB
+) -> AbstractContextManager[SparkSession]:
+    """Widen shuffles for a job over ``input_bytes`` to ``target_bytes`` a partition; never narrows.
 
     AQE can merge shuffle partitions but not add any, so the starting width has to fit the input.
+    There is no upper limit: a caller who wants fewer, larger partitions raises ``target_bytes``.
+    The setting belongs to the session, so jobs of different size that run at the same time should
+    each have a session of their own (``spark.newSession()``).
     """
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    split = size_in_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
-    return _settings(
-        spark,
-        {
-            "spark.sql.shuffle.partitions": str(max(width, shuffle_partitions(input_bytes))),
-            "spark.sql.files.maxPartitionBytes": str(
-                max(split, -(-input_bytes // MAX_SCAN_TASKS))
-            ),
-        },
-    )
+    return _settings(spark, {"spark.sql.shuffle.partitions": str(
+        max(width, shuffle_partitions(input_bytes, target_bytes)))})
 
 
 _UNITS = {"": 1, "b": 1, "k": 2**10, "kb": 2**10, "m": 2**20, "mb": 2**20, "g": 2**30,
