@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import hashlib
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -28,8 +28,6 @@ from tokenizers import Tokenizer
 
 from stratalake.llm.common import stored_by, utf8, width
 
-#: Distinct words that a worker's encoder remembers before it starts anew.
-CACHED_WORDS = 200_000
 #: Texts of about so many bytes share one list of distinct words.
 CHUNK_BYTES = 12 << 20
 
@@ -58,25 +56,6 @@ def piece_table(path: str) -> list[bytes]:
     return [(loaded.id_to_token(i) or "").encode() for i in range(loaded.get_vocab_size())]
 
 
-class WordEncoder:
-    """Ids of single texts with a bounded memory of words; for use inside one task."""
-
-    def __init__(self, path: str):
-        self.path, self.known = path, {}
-
-    def __call__(self, text: bytes) -> bytes:
-        """Little-endian unsigned 32-bit ids of the whole text."""
-        words = text.split()
-        missing = list({word for word in words if word not in self.known})
-        if missing:
-            if len(self.known) + len(missing) > CACHED_WORDS:
-                self.known.clear()
-                missing = list(set(words))
-            for word, ids in zip(missing, encode_words(self.path, missing)):
-                self.known[word] = ids.tobytes()
-        return b"".join(map(self.known.__getitem__, words))
-
-
 def _packed_ints(values: np.ndarray) -> bytes:
     """Unsigned 32-bit numbers, one byte plane after the other, compressed."""
     planes = np.ascontiguousarray(values, "<u4").view(np.uint8).reshape(-1, 4).T
@@ -179,52 +158,70 @@ def _encode_bucket(rows: pa.Table, path: str) -> pa.Table:
                      "sizes": pa.array(sizes, pa.binary()), "ids": pa.array(ids, pa.binary())})
 
 
+class ChunkIds:
+    """The ids of a chunk's texts, put together by position from the answers to its words."""
+
+    def __init__(self, texts: pa.Table, answers: pa.Table):
+        place = [np.cumsum(_unpacked_ints(x).astype(np.int64))
+                 for x in answers.column("places").to_pylist()]
+        sizes = [_unpacked_ints(x).astype(np.int64) for x in answers.column("sizes").to_pylist()]
+        flat = [_unpacked_ints(x) for x in answers.column("ids").to_pylist()]
+        total = 1 + max((int(p[-1]) for p in place), default=-1)
+        self.count, self.start = np.full(total, -1, np.int64), np.zeros(total, np.int64)
+        self.ids, base = np.concatenate([np.zeros(0, "<u4"), *flat]), 0
+        for where, size, ids in zip(place, sizes, flat):
+            self.count[where], self.start[where] = size, base + np.cumsum(size) - size
+            base += len(ids)
+        if (self.count < 0).any():
+            raise RuntimeError("a chunk lacks ids of some of its words")
+        owners = [part.flatten() for part in texts.column("ids").chunks]
+        self.owners = pa.chunked_array(owners, texts.column("ids").type.value_type)
+        self.texts = texts
+
+    def places(self) -> Iterator[np.ndarray]:
+        """The places of each text's words."""
+        for counts, data in zip(self.texts.column("counts").to_pylist(),
+                                self.texts.column("places").to_pylist()):
+            ends = np.cumsum(_unpacked_ints(counts).astype(np.int64))
+            yield from np.split(_unpacked_ints(data), ends[:-1])
+
+    def of(self, at: np.ndarray) -> np.ndarray:
+        """The ids of a text whose words have these places."""
+        size = self.count[at]
+        ends = np.cumsum(size)
+        n = int(ends[-1]) if len(ends) else 0
+        return self.ids[np.arange(n) + np.repeat(self.start[at] - ends + size, size)]
+
+    def decoded(self, pieces: list[bytes]) -> list[bytes]:
+        """For each word its ids' pieces, joined by a space."""
+        named = [pieces[i] for i in self.ids.tolist()]
+        return [b" ".join(named[a:a + n]) for a, n in zip(self.start.tolist(), self.count.tolist())]
+
+
 def _by_position(texts: pa.Table, answers: pa.Table, pieces: list[bytes]) -> pa.Table:
     """A chunk's texts as ids, and decoded through the table of pieces."""
-    place = [np.cumsum(_unpacked_ints(x).astype(np.int64)) for x in
-             answers.column("places").to_pylist()]
-    sizes = [_unpacked_ints(x).astype(np.int64) for x in answers.column("sizes").to_pylist()]
-    flat = [_unpacked_ints(x) for x in answers.column("ids").to_pylist()]
-    total = 1 + max((int(p[-1]) for p in place), default=-1)
-    count, start, decoded, base = (
-        np.full(total, -1, np.int64), np.zeros(total, np.int64), [b""] * total, 0)
-    for where, size, ids in zip(place, sizes, flat):
-        ends = np.cumsum(size)
-        count[where], start[where] = size, base + ends - size
-        named = [pieces[i] for i in ids.tolist()]
-        for at, end, n in zip(where.tolist(), ends.tolist(), size.tolist()):
-            decoded[at] = b" ".join(named[end - n:end])
-        base += len(ids)
-    if (count < 0).any():
-        raise RuntimeError("a chunk lacks ids of some of its words")
-    ids = np.concatenate([np.zeros(0, "<u4"), *flat])
-    values, lengths, plain = [np.zeros(0, "<u4")], [], []
-    empty = bool((count == 0).any())
-    for counts, data in zip(texts.column("counts").to_pylist(), texts.column("places").to_pylist()):
-        ends = np.cumsum(_unpacked_ints(counts).astype(np.int64))
-        for at in np.split(_unpacked_ints(data), ends[:-1]):
-            size = count[at]
-            ends = np.cumsum(size)
-            n = int(ends[-1]) if len(ends) else 0
-            values.append(ids[np.arange(n) + np.repeat(start[at] - ends + size, size)])
-            lengths.append(n)
-            if empty:
-                at = at[size > 0]
-            plain.append(b" ".join([decoded[i] for i in at.tolist()]))
-    offsets = pa.array(np.concatenate(([0], np.cumsum(lengths))), pa.int32())
-    owners = [part.flatten() for part in texts.column("ids").chunks]
+    chunk = ChunkIds(texts, answers)
+    decoded, empty = chunk.decoded(pieces), bool((chunk.count == 0).any())
+    values, plain = [], []
+    for at in chunk.places():
+        values.append(chunk.of(at))
+        if empty:
+            at = at[chunk.count[at] > 0]
+        plain.append(b" ".join([decoded[i] for i in at.tolist()]))
+    offsets = pa.array(np.cumsum([0, *map(len, values)]), pa.int32())
     return pa.table({
-        "id": pa.chunked_array(owners, texts.column("ids").type.value_type),
+        "id": chunk.owners,
         "ids": pa.ListArray.from_arrays(offsets, pa.array(
-            np.concatenate(values).astype(np.int32), pa.int32()),
+            np.concatenate([np.zeros(0, "<u4"), *values]).astype(np.int32), pa.int32()),
             type=pa.list_(pa.field("element", pa.int32()))),
         "decoded": pa.array(plain, pa.binary()).cast(pa.string())})
 
 
-def encoded(
-    docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text"
+def per_chunk(
+    docs: DataFrame, tokenizer_path: str, id_col: str, text_col: str,
+    finish: Callable[[pa.Table, pa.Table], pa.Table], schema: T.StructType,
 ) -> DataFrame:
-    """Per document its id, ``ids`` and ``decoded``, the text that the ids decode to."""
+    """``finish`` over each chunk's texts and the ids of its words, for use with ``ChunkIds``."""
     # Chunks lie in buckets, so their texts are written once and never shuffled.
     chunked = stored_by(_chunked(docs, id_col, text_col, 2 * width(docs)), "chunk", width(docs))
     texts = chunked.where("bucket is null").select("chunk", "ids", "counts", "places")
@@ -232,11 +229,16 @@ def encoded(
         "bucket", "chunk", "places", "words").groupBy("bucket").applyInArrow(
             lambda rows: _encode_bucket(rows, tokenizer_path),
             "chunk long, places binary, sizes binary, ids binary")
+    return texts.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(finish, schema)
 
-    def finish(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        return _by_position(texts, answers, piece_table(tokenizer_path))
 
-    schema = docs.select(F.col(id_col).alias("id")).schema.add("ids", T.ArrayType(T.IntegerType())).add(
-        "decoded", "string")
-    return texts.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
-        finish, schema).withColumnRenamed("id", id_col)
+def encoded(
+    docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """Per document its id, ``ids`` and ``decoded``, the text that the ids decode to."""
+    schema = docs.select(F.col(id_col).alias("id")).schema.add(
+        "ids", T.ArrayType(T.IntegerType())).add("decoded", "string")
+    return per_chunk(
+        docs, tokenizer_path, id_col, text_col,
+        lambda texts, answers: _by_position(texts, answers, piece_table(tokenizer_path)),
+        schema).withColumnRenamed("id", id_col)

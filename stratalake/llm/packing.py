@@ -25,8 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratalake.llm.bpe import WordEncoder
-from stratalake.llm.common import arrow_batches, stored, utf8, width
+from stratalake.llm.bpe import ChunkIds, per_chunk
+from stratalake.llm.common import stored, width
 
 CAPACITY, END_ID = 2048, 0
 #: Pieces longer than this share of a sequence are grouped; the rest is filled in by best fit.
@@ -40,31 +40,26 @@ def pieces(
     end_id: int = END_ID,
 ) -> DataFrame:
     """(id, piece, start, length, ids_crc32) of all documents, cut only beyond ``capacity``."""
-    end = np.array([end_id], "<u4").tobytes()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = WordEncoder(tokenizer_path)
-
-        def build(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-            rows: list[tuple] = []
-            for row, text in enumerate(utf8(batch.column("text"))):
-                ids = encode(text) + end
-                for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
-                    part = ids[at:at + 4 * capacity]
-                    rows.append((row, piece, at // 4, len(part) // 4, zlib.crc32(part)))
-            place, *values = zip(*rows)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id").take(pa.array(place, pa.int64())),
-                 pa.array(values[0], pa.int32()), *(pa.array(v, pa.int64()) for v in values[1:])],
-                names=["id", "piece", "start", "length", "ids_crc32"])
-
-        yield from arrow_batches(build)(batches)
-
-    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    schema = source.select("id").schema.add("piece", "integer")
+    end = np.array([end_id], "<u4")
+
+    def cut(texts: pa.Table, answers: pa.Table) -> pa.Table:
+        chunk, rows = ChunkIds(texts, answers), []
+        for row, at in enumerate(chunk.places()):
+            ids = np.concatenate([chunk.of(at), end])
+            for piece, begin in enumerate(range(0, len(ids), capacity)):
+                part = ids[begin:begin + capacity]
+                rows.append((row, piece, begin, len(part), zlib.crc32(part.tobytes())))
+        place, *values = zip(*rows)
+        return pa.table({
+            "id": chunk.owners.take(pa.array(place, pa.int64())),
+            "piece": pa.array(values[0], pa.int32()), "start": pa.array(values[1], pa.int64()),
+            "length": pa.array(values[2], pa.int64()),
+            "ids_crc32": pa.array(values[3], pa.int64())})
+
+    schema = docs.select(F.col(id_col).alias("id")).schema.add("piece", "integer")
     for name in ("start", "length", "ids_crc32"):
         schema = schema.add(name, "long")
-    return source.mapInArrow(run, schema)
+    return per_chunk(docs, tokenizer_path, id_col, text_col, cut, schema)
 
 
 def _best_pattern(sizes: np.ndarray, worth: np.ndarray, capacity: int) -> np.ndarray:
