@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
-from functools import partial
+from functools import partial, reduce
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -21,7 +21,8 @@ from stratalake.operators.sizes import total_bytes
 from stratalake.plans import bronze, gold, runlog, silver
 from stratalake.plans.runlog import EntityMetric, Run
 from stratalake.schemas import GOLD_TABLES, RAW_ENTITIES
-from stratalake.session import sized
+from stratalake.session import scratch_folder, sized
+from stratalake.sources.files import list_files
 from stratalake.sources.layers import read_gold, read_layer
 from stratalake.sources.raw import join_path, missing_columns, read_entity, require_paths
 
@@ -89,15 +90,19 @@ def raw_to_bronze(
     bronze_root: str,
     history: str | None = None,
     formats: Mapping[str, str] | None = None,
-    multi_line: bool = True,
+    multi_line: bool = False,
+    started_at: datetime | None = None,
 ) -> list[EntityMetric]:
-    """All six raw entities to bronze Parquet. ``formats`` overrides the format per entity."""
-    started_at = _now()
+    """All six raw entities to bronze Parquet. ``formats`` overrides the format per entity;
+    ``multi_line`` says that JSON files are arrays and not lines."""
+    started_at = started_at or _now()
     sources = {name: join_path(raw_root, e.file_name) for name, e in RAW_ENTITIES.items()}
 
-    def load(name: str) -> EntityMetric:
+    def read(name: str) -> DataFrame:
+        return read_entity(spark, sources[name], name, (formats or {}).get(name), multi_line)
+
+    def load(name: str, df: DataFrame, paths: list[str]) -> EntityMetric:
         entity = RAW_ENTITIES[name]
-        df = read_entity(spark, sources[name], name, (formats or {}).get(name), multi_line)
         lacking = missing_columns(df, name)
         if lacking:
             raise ValueError(f"{name}: required columns missing: {', '.join(lacking)}")
@@ -107,13 +112,16 @@ def raw_to_bronze(
         layout.write_entity(
             stamped.observe(rows, F.count(F.lit(1)).alias("records_in")), target
         )
-        written = spark.read.parquet(target).count()  # footers only
-        return EntityMetric(name, rows.get["records_in"], written)
+        paths.append(target)
+        written = rows.get["records_in"]  # nothing is dropped on the way
+        return EntityMetric(name, written, written)
 
     def work(metrics: list[EntityMetric], paths: list[str]) -> None:
         require_paths(spark, sources)
-        _side_by_side(spark, {name: partial(load, name) for name in RAW_ENTITIES}, metrics)
-        paths += [join_path(bronze_root, name) for name in RAW_ENTITIES]
+        frames = {name: read(name) for name in RAW_ENTITIES}
+        with sized(spark, total_bytes(frames.values())):
+            _side_by_side(spark, {name: partial(load, name, df, paths)
+                                  for name, df in frames.items()}, metrics)
 
     return _recorded(spark, "raw_to_bronze", "raw", "bronze", history, work)
 
@@ -127,28 +135,30 @@ def bronze_to_silver(
 ) -> list[EntityMetric]:
     """Refine, count and write each entity in a single pass over bronze."""
 
-    def refine(name: str, df: DataFrame) -> EntityMetric:
+    def refine(name: str, df: DataFrame, paths: list[str]) -> EntityMetric:
         seen = Observation()
+        keep = silver.REFINEMENTS[name].keep
         marked = silver.marked(name, df).observe(
             seen,
             F.count(F.lit(1)).alias("records_in"),
             F.count_if(F.col(silver.DEFECT)).alias("invalid"),
+            F.count_if(keep() if keep else F.lit(True)).alias("records_out"),
         )
         target = join_path(silver_root, name)
         layout.write_entity(
             silver.settled(name, marked), target, silver.PARTITION_COLUMNS, keep_other_dates
         )
-        written = spark.read.parquet(target).count()  # footers only
+        paths.append(target)
         counts = seen.get
         share = _percentage(counts["records_in"], counts["invalid"])
-        return EntityMetric(name, counts["records_in"], written, counts["invalid"], share)
+        return EntityMetric(
+            name, counts["records_in"], counts["records_out"], counts["invalid"], share)
 
     def work(metrics: list[EntityMetric], paths: list[str]) -> None:
         entities = read_layer(spark, bronze_root, RAW_ENTITIES)
-        _side_by_side(
-            spark, {name: partial(refine, name, df) for name, df in entities.items()}, metrics
-        )
-        paths += [join_path(silver_root, name) for name in entities]
+        with sized(spark, total_bytes(entities.values())):
+            _side_by_side(spark, {name: partial(refine, name, df, paths)
+                                  for name, df in entities.items()}, metrics)
 
     return _recorded(spark, "bronze_to_silver", "bronze", "silver", history, work)
 
@@ -158,7 +168,7 @@ def silver_to_gold(
 ) -> list[EntityMetric]:
     """Dimensions first; the facts then read the written dimensions instead of rebuilding them."""
 
-    def store(name: str, df: DataFrame, records_in: int) -> EntityMetric:
+    def store(name: str, df: DataFrame, records_in: int, paths: list[str]) -> EntityMetric:
         target = join_path(gold_root, name)
         parts = GOLD_TABLES[name].partitioned_by
         rows = Observation()
@@ -166,6 +176,7 @@ def silver_to_gold(
         layout.write_entity(
             clustered.observe(rows, F.count(F.lit(1)).alias("rows")), target, parts
         )
+        paths.append(target)
         return EntityMetric(name, records_in, rows.get["rows"])
 
     def work(metrics: list[EntityMetric], paths: list[str]) -> int:
@@ -183,9 +194,8 @@ def silver_to_gold(
                 name: sum(counts[entity]["records_in"] for entity in gold.INPUTS[name])
                 for name in tables
             }
-            jobs = {name: partial(store, name, df, taken[name]) for name, df in tables.items()}
-            _side_by_side(spark, jobs, metrics)
-            paths.extend(join_path(gold_root, name) for name in tables)
+            _side_by_side(spark, {name: partial(store, name, df, taken[name], paths)
+                                  for name, df in tables.items()}, metrics)
 
         store_all({
             "dim_customer": gold.dim_customer(entities["customers"]),
@@ -206,25 +216,40 @@ def silver_to_gold(
 
 
 def quality_checks(
-    spark: SparkSession, silver_root: str, gold_root: str, results_path: str | None = None
+    spark: SparkSession,
+    silver_root: str,
+    gold_root: str,
+    results_path: str | None = None,
+    raw_root: str | None = None,
+    bronze_root: str | None = None,
 ) -> DataFrame:
-    """Evaluate the silver and gold rules; store one JSON row per rule, plus the summary."""
+    """Evaluate every rule of the catalogue and its severity; store one JSON row per rule, plus the
+    summary, where ``results_path`` is given.
+
+    Presence of raw files and required bronze columns are looked at where their roots are given.
+    """
     started_at = _now()
-    entities = read_layer(
-        spark, silver_root, dict.fromkeys(rule.entity for rule in quality.SILVER_RULES)
-    )
+    entities = read_layer(spark, silver_root, RAW_ENTITIES)
     tables = read_gold(spark, gold_root)
-    results = quality.evaluate(entities, quality.SILVER_RULES).unionByName(
-        quality.evaluate(tables, quality.GOLD_RULES)
-    )
-    if results_path is None:
-        return results
-    checks = join_path(results_path, "checks")
+    parts = [
+        quality.evaluate(entities, (*quality.SILVER_RULES, *quality.DEDUPLICATION_RULES)),
+        quality.evaluate(tables, quality.GOLD_RULES),
+        quality.integrity(tables),
+    ]
+    if raw_root is not None:
+        names = [entity.file_name for entity in RAW_ENTITIES.values()]
+        parts.append(quality.raw_file_presence(list_files(spark, raw_root), names))
+    if bronze_root is not None:
+        parts.append(quality.required_columns(
+            spark, read_layer(spark, bronze_root, RAW_ENTITIES)))
+    results = quality.with_severity(reduce(DataFrame.unionByName, parts))
+    kept = results_path or scratch_folder(spark)
+    checks = join_path(kept, "checks")
     with sized(spark, total_bytes([*entities.values(), *tables.values()])):
         results.coalesce(1).write.mode("overwrite").json(checks)
     stored = spark.read.schema(results.schema).json(checks)
-    seconds = (_now() - started_at).total_seconds()
-    quality.summary(stored, seconds).write.mode("overwrite").json(
-        join_path(results_path, "summary")
-    )
+    if results_path is not None:
+        seconds = (_now() - started_at).total_seconds()
+        quality.summary(stored, seconds).write.mode("overwrite").json(
+            join_path(results_path, "summary"))
     return stored

@@ -4,38 +4,50 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from functools import reduce
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratalake.operators.sizes import total_bytes
 from stratalake.plans import marts
 from stratalake.plans.frames import Star
 from stratalake.schemas import GOLD_TABLES
+from stratalake.session import sized
+from stratalake.sources.layers import read_gold
 from stratalake.sources.raw import join_path, require_paths
 
 GOLD_DB = "gold"
 ANALYTICS_DB = "analytics"
 
 
+def _switch(spark: SparkSession, target: str, location: str, parts: tuple[str, ...] = ()) -> None:
+    """Point table ``target`` to the Parquet data at ``location``, which is complete by now.
+
+    A table of the same shape only gets the new location, so readers never find it missing.
+    """
+    schema = spark.read.parquet(location).schema
+    quoted = location.replace("'", "\\'")
+    former = spark.table(target).schema if spark.catalog.tableExists(target) else None
+    if not parts and former is not None and former.simpleString() == schema.simpleString():
+        spark.sql(f"ALTER TABLE {target} SET LOCATION '{quoted}'")
+        spark.catalog.refreshTable(target)
+        return
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    by = f"PARTITIONED BY ({', '.join(parts)})" if parts else ""
+    spark.sql(f"DROP TABLE IF EXISTS {target}")
+    spark.sql(f"CREATE TABLE {target} ({columns}) USING parquet {by} LOCATION '{quoted}'")
+    if parts:
+        spark.catalog.recoverPartitions(target)
+
+
 def publish_gold(spark: SparkSession, gold_root: str, database: str = GOLD_DB) -> list[str]:
     """Register each gold table over its Parquet directory; no data is copied."""
     require_paths(spark, {name: join_path(gold_root, name) for name in GOLD_TABLES})
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    published = []
     for name, table in GOLD_TABLES.items():
-        target = f"{database}.{name}"
-        spark.sql(f"DROP TABLE IF EXISTS {target}")
-        schema = spark.read.parquet(join_path(gold_root, name)).schema
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-        parts = ""
-        if table.partitioned_by:
-            parts = f"PARTITIONED BY ({', '.join(table.partitioned_by)})"
-        location = join_path(gold_root, name).replace("'", "\\'")
-        spark.sql(f"CREATE TABLE {target} ({columns}) USING parquet {parts} LOCATION '{location}'")
-        if table.partitioned_by:
-            spark.catalog.recoverPartitions(target)
-        published.append(target)
-    return published
+        _switch(spark, f"{database}.{name}", join_path(gold_root, name), table.partitioned_by)
+    return [f"{database}.{name}" for name in GOLD_TABLES]
 
 
 def gold_frames(spark: SparkSession, database: str = GOLD_DB) -> Star:
@@ -53,10 +65,11 @@ def materialise(
     published = []
     for name, query in results.items():
         df = spark.sql(query.strip().rstrip(";")) if isinstance(query, str) else query
-        target = f"{database}.{name}"
-        spark.sql(f"DROP TABLE IF EXISTS {target}")
-        df.write.mode("overwrite").option("path", join_path(root, name)).saveAsTable(target)
-        published.append(target)
+        # Every run writes to a folder of its own: a failing query leaves the old table as it was.
+        location = join_path(root, name, f"run-{uuid4().hex}")
+        df.write.parquet(location)
+        _switch(spark, f"{database}.{name}", location)
+        published.append(f"{database}.{name}")
     return published
 
 
@@ -103,7 +116,9 @@ def publish(spark: SparkSession, gold_root: str, serving_root: str) -> DataFrame
     publish_mart_view(spark)
     star = gold_frames(spark)
     queries = {name: build(star) for name, build in marts.ANALYTICS.items()}
-    analytics = materialise(spark, queries, serving_root)
+    # Sizes come from the files: a catalogue table without statistics counts as endless.
+    with sized(spark, total_bytes(read_gold(spark, gold_root).values())):
+        analytics = materialise(spark, queries, serving_root)
     sources = {f"{GOLD_DB}.{name}": join_path(gold_root, name) for name in GOLD_TABLES}
     sources |= {f"{ANALYTICS_DB}.{name}": join_path(serving_root, name) for name in queries}
     return manifest({name: (spark.table(name), sources[name]) for name in [*gold, *analytics]})

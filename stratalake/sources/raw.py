@@ -1,4 +1,4 @@
-"""Raw readers. Columns are matched by name and typed explicitly; nothing is inferred."""
+"""Raw readers. Columns are matched by name and typed explicitly; no type is inferred."""
 
 from __future__ import annotations
 
@@ -15,9 +15,12 @@ def read_csv(spark: SparkSession, path: str, entity: RawEntity) -> DataFrame:
     """Header CSV; empty fields are NULL, values that do not parse are NULL.
 
     Read as text by header name, so column order is free and no inference pass runs over the
-    data. Columns the catalogue does not know are kept as text.
+    data. Columns the catalogue does not know are kept as text. All files of one path share one
+    header: Spark reads every file in the order of the first, so a file whose header differs fails
+    the job instead of being read by position.
     """
-    text = spark.read.option("header", True).csv(path)
+    header = spark.read.option("header", True).csv(path).schema
+    text = spark.read.schema(header).option("header", True).option("enforceSchema", False).csv(path)
     return text.select(
         *[
             F.col(name).try_cast("double").try_cast("int").alias(name)
@@ -29,19 +32,24 @@ def read_csv(spark: SparkSession, path: str, entity: RawEntity) -> DataFrame:
 
 
 def read_json(
-    spark: SparkSession, path: str, entity: RawEntity, multi_line: bool = True
+    spark: SparkSession, path: str, entity: RawEntity, multi_line: bool = False
 ) -> DataFrame:
-    """JSON array files (``multi_line``) or JSON lines.
+    """JSON lines, which split, or array files on request (``multi_line``): one task reads each.
 
-    An array file is read by a single task, so large feeds should arrive as many files or as
-    JSON lines, which split.
+    The columns are those that the data holds: one pass looks for their names, declared ones are
+    then cast to their type and the others kept, so a check of required columns sees what is there.
     """
-    schema = ", ".join(f"{name} {kind}" for name, kind in entity.columns.items())
-    return spark.read.schema(schema).option("multiLine", multi_line).json(path)
+    text = spark.read.option("multiLine", multi_line).option("primitivesAsString", True).json(path)
+    return text.select(*[
+        F.col(name).try_cast(entity.columns[name]).alias(name)
+        if name in entity.columns and text.schema[name].dataType.typeName() == "string"
+        else F.col(f"`{name}`")
+        for name in text.columns
+    ])
 
 
 def read_entity(
-    spark: SparkSession, path: str, name: str, fmt: str | None = None, multi_line: bool = True
+    spark: SparkSession, path: str, name: str, fmt: str | None = None, multi_line: bool = False
 ) -> DataFrame:
     """Read one raw entity from CSV, JSON or Parquet."""
     entity = RAW_ENTITIES[name]

@@ -22,7 +22,8 @@ def lake(spark, tmp_path_factory):
     write_raw(root / "raw")
     paths = {name: str(root / name) for name in ("raw", "bronze", "silver", "gold", "history")}
     history = paths["history"]
-    paths["bronze_run"] = runner.raw_to_bronze(spark, paths["raw"], paths["bronze"], history)
+    paths["bronze_run"] = runner.raw_to_bronze(
+        spark, paths["raw"], paths["bronze"], history, multi_line=True)
     paths["silver_run"] = runner.bronze_to_silver(spark, paths["bronze"], paths["silver"], history)
     paths["gold_run"] = runner.silver_to_gold(spark, paths["silver"], paths["gold"], history)
     return paths
@@ -32,10 +33,14 @@ def table(spark, lake, layer, name):
     return spark.read.parquet(f"{lake[layer]}/{name}")
 
 
+def by_key(spark, lake, layer, name, key):
+    return {row[key]: row for row in table(spark, lake, layer, name).collect()}
+
+
 def test_bronze_keeps_rows_and_adds_lineage(spark, lake):
     assert [(m.entity, m.records_in, m.records_out) for m in lake["bronze_run"]] == [
-        ("customers", 3, 3), ("products", 3, 3), ("campaigns", 2, 2),
-        ("orders", 2, 2), ("order_items", 2, 2), ("web_events", 2, 2),
+        ("customers", 4, 4), ("products", 4, 4), ("campaigns", 3, 3),
+        ("orders", 3, 3), ("order_items", 4, 4), ("web_events", 3, 3),
     ]
     for name, entity in RAW_ENTITIES.items():
         df = table(spark, lake, "bronze", name)
@@ -43,75 +48,76 @@ def test_bronze_keeps_rows_and_adds_lineage(spark, lake):
         assert df.select("source_file").distinct().collect()[0][0] == entity.file_name
         kinds = dict(df.dtypes)
         assert all(kinds[column] == kind for column, kind in entity.columns.items())
-    orders = table(spark, lake, "bronze", "orders").orderBy("order_id").collect()
-    assert orders[0].customer_id == "CUST-001" and orders[0].order_status == " PAID"
+    orders = by_key(spark, lake, "bronze", "orders", "order_id")
+    assert orders["O-51"].customer_id == "K7" and orders["O-51"].order_status == " Shipped"
 
 
 def test_silver_customers(spark, lake):
-    found = {r.customer_id: r for r in table(spark, lake, "silver", "customers").collect()}
-    assert set(found) == {"CUST-001", "CUST-002"}
-    assert found["CUST-001"].email == "maria@example.com" and found["CUST-001"].is_email_valid
-    assert found["CUST-002"].email is None and found["CUST-002"].is_email_valid is False
+    found = by_key(spark, lake, "silver", "customers", "customer_id")
+    assert {key: (row.email, row.is_email_valid) for key, row in found.items()} == {
+        "K7": ("ines.okafor@mail.test", True), "K8": (None, False), "K9": ("pia-at-mail", False)}
 
 
 def test_silver_products(spark, lake):
-    found = {r.product_id: r for r in table(spark, lake, "silver", "products").collect()}
-    assert set(found) == {"PROD-001", "PROD-002"}
-    assert found["PROD-001"].category == "electronics"
-    assert found["PROD-002"].category == "home_office_gear"
-    assert found["PROD-002"].unit_price == 0.0
+    found = by_key(spark, lake, "silver", "products", "product_id")
+    assert {key: (row.category, row.unit_price) for key, row in found.items()} == {
+        "rake-4": ("hand_tools", 12.5), "bulb-9": ("seeds_bulbs", 0.0), "pot-2": ("unknown", 7.75)}
 
 
 def test_silver_campaigns(spark, lake):
-    found = {r.campaign_id: r for r in table(spark, lake, "silver", "campaigns").collect()}
-    assert found["CAMP-002"].budget == 0.0
-    assert found["CAMP-002"].start_date == dt.date(2024, 3, 10)
+    found = by_key(spark, lake, "silver", "campaigns", "campaign_id")
+    assert {key: (row.budget, row.end_date) for key, row in found.items()} == {
+        "W1": (240.5, dt.date(2023, 9, 30)), "W2": (80.0, None), "W3": (0.0, dt.date(2023, 9, 12))}
 
 
 def test_silver_orders_items_events(spark, lake):
-    orders = {r.order_id: r for r in table(spark, lake, "silver", "orders").collect()}
-    assert (orders["ORD-001"].order_status, orders["ORD-001"].is_valid_status) == ("paid", True)
-    assert (orders["ORD-002"].order_status, orders["ORD-002"].is_valid_status) == (None, False)
-    items = {r.order_item_id: r for r in table(spark, lake, "silver", "order_items").collect()}
-    assert items["ITEM-001"].gross_amount == 100 and items["ITEM-001"].net_amount == 95
-    assert items["ITEM-002"].is_quantity_valid is False
-    events = {r.event_id: r for r in table(spark, lake, "silver", "web_events").collect()}
-    assert events["EVT-001"].event_type == "page_view"
-    assert events["EVT-002"].event_type == "add_to_cart"
-    assert events["EVT-002"].campaign_id is None
+    orders = by_key(spark, lake, "silver", "orders", "order_id")
+    assert {key: (row.order_status, row.is_valid_status) for key, row in orders.items()} == {
+        "O-51": ("shipped", True), "O-52": ("paid", True), "O-53": (None, False)}
+    items = by_key(spark, lake, "silver", "order_items", "order_item_id")
+    assert {key: (row.gross_amount, row.net_amount, row.is_quantity_valid)
+            for key, row in items.items()} == {
+        "O-51/a": (Decimal("37.50"), Decimal("36.25"), True),
+        "O-51/b": (Decimal("0.00"), Decimal("0.00"), False),
+        "O-52/a": (Decimal("15.50"), Decimal("15.00"), True),
+        "O-53/a": (Decimal("7.75"), Decimal("7.75"), True)}
+    events = by_key(spark, lake, "silver", "web_events", "event_id")
+    assert {key: (row.event_type, row.campaign_id) for key, row in events.items()} == {
+        "v1": ("view_item", "W1"), "v2": ("check_out", None), "v3": ("view_item", "W2")}
 
 
 def test_silver_counts_raw_price_and_budget_defects(lake):
     counts = {m.entity: (m.records_in, m.records_out, m.invalid_records, m.quality_percentage)
               for m in lake["silver_run"]}
-    assert counts["customers"] == (3, 2, 2, 33.33)
-    assert counts["products"] == (3, 2, 2, 33.33)  # a negative price and a missing id
-    assert counts["campaigns"] == (2, 2, 1, 50.0)  # a negative budget
-    assert counts["orders"] == (2, 2, 1, 50.0)
-    assert counts["order_items"] == (2, 2, 1, 50.0)
-    assert counts["web_events"] == (2, 2, 0, 100.0)
+    assert counts == {
+        "customers": (4, 3, 3, 25.0),  # two bad addresses and a missing id
+        "products": (4, 3, 2, 50.0),  # a negative price and a blank id
+        "campaigns": (3, 3, 2, 33.33),  # an unreadable date and a negative budget
+        "orders": (3, 3, 1, 66.67),
+        "order_items": (4, 4, 1, 75.0),
+        "web_events": (3, 3, 0, 100.0),  # a missing customer counts in gold only
+    }
 
 
 def test_gold_star(spark, lake):
     sizes = {name: table(spark, lake, "gold", name).count() for name in GOLD_TABLES}
-    assert sizes == {"dim_customer": 2, "dim_product": 2, "dim_campaign": 2, "dim_date": 2,
-                     "fct_sales": 1, "fct_web_events": 2}
-    sale = table(spark, lake, "gold", "fct_sales").collect()[0]
-    assert sale.net_amount == Decimal("95.00") and sale.order_status == "paid"
-    assert sale.date_key == 20240315
-    keys = {
-        name: table(spark, lake, "gold", f"dim_{name}").filter(
-            F.col(f"{name}_id").endswith("001")).collect()[0][f"{name}_key"]
-        for name in ("customer", "product", "campaign")
-    }
-    assert keys == {n: sale[f"{n}_key"] for n in keys}
-    events = {r.session_id: r for r in table(spark, lake, "gold", "fct_web_events").collect()}
-    assert events["SESS-001"].campaign_key == keys["campaign"]
-    assert events["SESS-002"].campaign_key is None
+    assert sizes == {"dim_customer": 3, "dim_product": 3, "dim_campaign": 3, "dim_date": 3,
+                     "fct_sales": 2, "fct_web_events": 2}
+    sales = by_key(spark, lake, "gold", "fct_sales", "order_item_id")
+    sale = sales["O-51/a"]
+    assert (sale.net_amount, sale.order_status, sale.date_key) == (
+        Decimal("36.25"), "shipped", 20230904)
+    for name, member in (("customer", "K7"), ("product", "rake-4"), ("campaign", "W1")):
+        members = by_key(spark, lake, "gold", f"dim_{name}", f"{name}_id")
+        assert sale[f"{name}_key"] == members[member][f"{name}_key"]
+    assert sales["O-52/a"].campaign_key is None  # the touch came a day later
+    events = by_key(spark, lake, "gold", "fct_web_events", "session_id")
+    assert events["s-k7"].campaign_key == sale.campaign_key
+    assert events["s-k8"].campaign_key is None
     for name, spec in GOLD_TABLES.items():
         assert dict(table(spark, lake, "gold", name).dtypes) == spec.columns
     inputs = {m.entity: m.records_in for m in lake["gold_run"]}
-    assert inputs["dim_date"] == 4 and inputs["fct_sales"] == 2
+    assert inputs["dim_date"] == 6 and inputs["fct_sales"] == 4
 
 
 def test_run_history(spark, lake):
@@ -120,7 +126,7 @@ def test_run_history(spark, lake):
     assert {n: r.status for n, r in found.items()} == {
         "raw_to_bronze": "success", "bronze_to_silver": "warning", "silver_to_gold": "warning"}
     bronze = found["raw_to_bronze"]
-    assert bronze.valid_data_percentage == 100.0 and bronze.records_in == 14
+    assert bronze.valid_data_percentage == 100.0 and bronze.records_in == 21
     assert len(bronze.generated_files) == 6 and bronze.approx_file_size_bytes > 0
     assert [m.entity for m in bronze.entity_metrics] == list(RAW_ENTITIES)
     assert runs.first().job_name == "silver_to_gold"
@@ -130,6 +136,18 @@ def test_run_history(spark, lake):
         "failed_executions": 0, "last_job_name": "silver_to_gold"}
 
 
+def test_a_second_date_does_not_count_the_first(spark, lake, tmp_path):
+    silver = str(tmp_path / "silver")
+    for day in (1, 2):
+        bronze = str(tmp_path / f"bronze{day}")
+        runner.raw_to_bronze(spark, lake["raw"], bronze, multi_line=True,
+                             started_at=dt.datetime(2023, 10, day))
+        counts = runner.bronze_to_silver(spark, bronze, silver, keep_other_dates=True)
+        assert {m.entity: m.records_out for m in counts} == {
+            m.entity: m.records_out for m in lake["silver_run"]}
+    assert spark.read.parquet(f"{silver}/orders").count() == 6
+
+
 def test_failed_run_is_recorded(spark, tmp_path):
     with pytest.raises(FileNotFoundError, match="customers.*web_events"):
         runner.raw_to_bronze(spark, str(tmp_path / "none"), str(tmp_path / "out"),
@@ -142,34 +160,54 @@ def test_a_failing_entity_keeps_the_others(spark, tmp_path):
     raw = write_raw(tmp_path / "raw")
     (raw / "orders.csv").write_text("order_id,order_date\n1,2024-01-01\n")
     with pytest.raises(ValueError, match="orders: required columns missing: customer_id"):
-        runner.raw_to_bronze(spark, str(raw), str(tmp_path / "out"), str(tmp_path / "history"))
+        runner.raw_to_bronze(spark, str(raw), str(tmp_path / "out"), str(tmp_path / "history"),
+                             multi_line=True)
     run = runlog.read_history(spark, str(tmp_path / "history")).first()
     assert run.status == "failed"
-    assert [m.entity for m in run.entity_metrics] == [n for n in RAW_ENTITIES if n != "orders"]
+    others = [n for n in RAW_ENTITIES if n != "orders"]
+    assert [m.entity for m in run.entity_metrics] == others
+    assert {item.path.rsplit("/", 1)[1] for item in run.generated_files} == set(others)
 
 
 def test_quality_results_are_stored(spark, lake, tmp_path):
-    results = runner.quality_checks(spark, lake["silver"], lake["gold"], str(tmp_path / "dq"))
-    assert results.count() == 15
-    assert results.filter(~F.col("passed")).count() == 0
+    results = runner.quality_checks(
+        spark, lake["silver"], lake["gold"], str(tmp_path / "dq"), lake["raw"], lake["bronze"])
+    rows = results.collect()
+    # 15 base rules, 6 on repeated keys, 7 references, 6 raw files, 6 bronze schemas.
+    assert len(rows) == 40 and all(row.passed for row in rows)
+    assert {row.severity for row in rows if row.rule_name == "gold_fact_dimension_integrity"} == {
+        "critical"}
+    assert {row.layer for row in rows} == {"raw", "bronze", "silver", "gold"}
     summary = spark.read.json(str(tmp_path / "dq" / "summary")).first()
-    assert (summary.total_checks, summary.failed_checks) == (15, 0)
+    assert (summary.total_checks, summary.failed_checks) == (40, 0)
     assert summary.duration_seconds >= 0
+    assert runner.quality_checks(spark, lake["silver"], lake["gold"]).count() == 28
 
 
 def test_publish(spark, lake, tmp_path):
     listing = catalog.publish(spark, lake["gold"], str(tmp_path / "serving"))
     counts = {f"{r.schema_name}.{r.table_name}": r.row_count for r in listing.collect()}
     assert len(counts) == 11
-    assert counts["gold.fct_sales"] == 1 and counts["analytics.campaign_performance"] == 2
+    assert counts["gold.fct_sales"] == 2 and counts["analytics.campaign_performance"] == 3
     mart = spark.table("gold.dm_sales_overview").collect()
-    assert [(r.channel, r.category, r.total_orders) for r in mart] == [
-        ("email", "electronics", 1)]
+    assert {(r.channel, r.category, r.total_orders) for r in mart} == {
+        ("newsletter", "hand_tools", 1), ("organic_or_unknown", "unknown", 1)}
     # A second run replaces everything.
     again = catalog.publish(spark, lake["gold"], str(tmp_path / "serving"))
     assert {f"{r.schema_name}.{r.table_name}": r.row_count for r in again.collect()} == counts
 
 
+def test_a_failing_query_leaves_the_old_table(spark, tmp_path):
+    root = str(tmp_path / "serving")
+    catalog.materialise(spark, {"kept": "select 5 as n"}, root, "switching")
+    with pytest.raises(Exception, match="broken"):
+        catalog.materialise(
+            spark, {"kept": "select cast(raise_error('broken') as int) as n"}, root, "switching")
+    assert spark.table("switching.kept").first().n == 5
+    catalog.materialise(spark, {"kept": "select 6 as n"}, root, "switching")
+    assert spark.table("switching.kept").first().n == 6
+
+
 def test_sql_files_become_tables(spark, lake, tmp_path):
     catalog.publish_gold(spark, lake["gold"])
     folder = tmp_path / "sql"
@@ -180,7 +218,8 @@ def test_sql_files_become_tables(spark, lake, tmp_path):
     queries = catalog.sql_files(spark, str(folder))
     assert list(queries) == ["net_by_status"]
     catalog.materialise(spark, queries, str(tmp_path / "out"))
-    assert spark.table("analytics.net_by_status").collect()[0].net == Decimal("95.00")
+    found = {row.order_status: row.net for row in spark.table("analytics.net_by_status").collect()}
+    assert found == {"shipped": Decimal("36.25"), "paid": Decimal("15.00")}
 
 
 def test_partition_overwrite_modes(spark, lake, tmp_path):
@@ -210,10 +249,32 @@ def test_csv_columns_by_name_and_type(spark, tmp_path):
     assert missing_columns(df, "order_items") == ["order_id", "product_id", "discount_amount"]
 
 
-def test_json_lines(spark, tmp_path):
-    (tmp_path / "e.json").write_text('{"event_id": "1", "page": "/"}\n{"event_id": "2"}\n')
-    df = read_entity(spark, str(tmp_path / "e.json"), "web_events", multi_line=False)
+def test_csv_files_with_other_headers_fail(spark, tmp_path):
+    folder = tmp_path / "orders.csv"
+    folder.mkdir()
+    (folder / "a.csv").write_text("order_id,order_date\nO-1,2023-09-04\n")
+    (folder / "b.csv").write_text("order_date,order_id\n2023-09-05,O-2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_entity(spark, str(folder), "orders", "csv").collect()
+
+
+def test_json_columns_are_those_of_the_data(spark, tmp_path):
+    (tmp_path / "e.json").write_text(
+        '{"event_id": "1", "page": "/", "score": 2.5}\n{"event_id": "2"}\n')
+    df = read_entity(spark, str(tmp_path / "e.json"), "web_events")
+    assert dict(df.dtypes) == {"event_id": "string", "page": "string", "score": "string"}
     assert df.count() == 2 and df.filter("page is null").count() == 1
+    assert "campaign_id" in missing_columns(df, "web_events")
+
+
+@pytest.mark.parametrize("text, key", [
+    ("9999-12-31", 99991231), ("0001-01-01", 10101), ("0000-06-01", None), ("10000-01-01", None),
+    ("12345-01-01", None), ("300000-01-01", None), ("soon", None)])
+def test_dates_outside_the_calendar_are_null(rows, text, key):
+    found = rows("d string", (text,)).select(
+        c.date("d").alias("day"), c.timestamp("d").alias("moment"))
+    day, moment = found.select(c.date_key(F.col("day")), F.col("moment").isNotNull()).first()
+    assert day == key and moment == (key is not None)
 
 
 def test_source_file_from_metadata(spark, tmp_path):
