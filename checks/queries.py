@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -14,7 +15,7 @@ from checks.lake import RUN_AT, Lake
 from checks.raw_entities import RAW_SQL
 from stratalake.functions import columns as c
 from stratalake.operators import attribution, dedup, defects, joins, layout, quality
-from stratalake.plans import bronze, gold, marts, runlog, silver, storage_profile
+from stratalake.plans import gold, marts, runlog, runner, silver, storage_profile
 from stratalake.plans.frames import Star
 from stratalake.schemas import GOLD_TABLES, RAW_ENTITIES
 from stratalake.sources import catalog
@@ -110,16 +111,73 @@ def partitioned_write(lake: Lake) -> DataFrame:
     return lake.spark.read.parquet(path)
 
 
+def deliver(lake: Lake, entity: str) -> str:
+    """The raw entity as its source would write it, below a fresh raw root."""
+    root, source = lake.scratch("raw"), RAW_ENTITIES[entity]
+    raw = lake.raw(entity)
+    if entity == "products":
+        raw = raw.withColumn("created_at", F.lit("2023-01-01"))
+    path = f"{root}/{source.file_name}"
+    if source.fmt == "json":
+        text = F.col("event_timestamp").cast("string")  # as text, with all its digits
+        raw.withColumn("event_timestamp", text).write.json(path)
+    else:
+        raw.write.option("header", True).option("ignoreLeadingWhiteSpace", False).option(
+            "ignoreTrailingWhiteSpace", False).csv(path)
+    return root
+
+
+def _bronze_entity(entity: str) -> Callable[[Lake], DataFrame]:
+    def build(lake: Lake) -> DataFrame:
+        target = lake.scratch("bronze")
+        runner.raw_to_bronze(
+            lake.spark, deliver(lake, entity), target, started_at=RUN_AT, entities=[entity])
+        df = lake.spark.read.parquet(f"{target}/{entity}")
+        if entity == "web_events":
+            df = df.withColumn("event_timestamp", c.timestamp("event_timestamp"))
+        return df
+
+    return build
+
+
+for _name, _entity in RAW_ENTITIES.items():
+    _more = {"products": "*, '2023-01-01' as created_at", "web_events": "* replace (cast(cast("
+             "event_timestamp as timestamp) as string) as event_timestamp)"}.get(_name, "*")
+    register(
+        f"j1_bronze_{_name}",
+        _bronze_entity(_name),
+        f"""select {_more}, '2024-04-01 06:30:15' as ingestion_timestamp,
+                   '{_entity.file_name}' as source_file, '2024-04-01' as processing_date
+            from raw_{_name}""",
+    )
+
+
 @query(
-    "j1_bronze_orders",
-    """select *, '2024-04-01 06:30:15' as ingestion_timestamp, 'orders.csv' as source_file,
-              '2024-04-01' as processing_date from raw_orders""",
+    "a6_written_counts",
+    " union all ".join(
+        f"select '{name}' as entity, (select count(*) from raw_{name}) as records_in, "
+        f"(select count(*) from s_{name}) as records_out, "
+        f"2 * (select count(*) from s_{name}) as stored_rows"
+        for name in ("customers", "orders")
+    ),
 )
-def bronze_orders(lake: Lake) -> DataFrame:
-    source = read_entity(lake.spark, csv_copy(lake, "orders"), "orders")
-    path = lake.scratch("orders")
-    layout.write_entity(bronze.add_lineage(source, "orders.csv", RUN_AT), path)
-    return lake.spark.read.parquet(path)
+def written_counts(lake: Lake) -> DataFrame:
+    """Two processing dates; the counts of the second write do not include the first."""
+    target, names = lake.scratch("silver"), ["customers", "orders"]
+    for day in (1, 2):
+        bronze_root = lake.scratch("bronze")
+        for name in names:
+            runner.raw_to_bronze(
+                lake.spark, deliver(lake, name), bronze_root, entities=[name],
+                started_at=RUN_AT + timedelta(days=day))
+        metrics = runner.bronze_to_silver(
+            lake.spark, bronze_root, target, keep_other_dates=True, entities=names)
+    counts = lake.spark.createDataFrame(
+        [(m.entity, m.records_in, m.records_out) for m in metrics],
+        "entity string, records_in bigint, records_out bigint")
+    stored = [lake.spark.read.parquet(f"{target}/{name}").agg(F.count("*").alias("stored_rows"))
+              .withColumn("entity", F.lit(name)) for name in names]
+    return counts.join(reduce(DataFrame.unionByName, stored), "entity")
 
 
 @query(
@@ -156,7 +214,47 @@ def mart_view(lake: Lake) -> DataFrame:
     return lake.spark.sql(marts.SALES_OVERVIEW_SQL, **used)
 
 
-register("a13_file_listing", lambda lake: list_files(lake.spark, lake.sf_dir))
+def order_folders(lake: Lake) -> str:
+    """The orders written by status, one file for each."""
+    path = lake.scratch("by_status")
+    lake.table("orders").repartition("o_orderstatus").write.partitionBy("o_orderstatus").parquet(
+        path)
+    return path
+
+
+register(
+    "a13_file_listing",
+    lambda lake: list_files(lake.spark, order_folders(lake)).select(
+        F.regexp_extract("path", "o_orderstatus=([^/]+)/[^/]+$", 1).alias("status"), (F.col("length") > 0).alias("has_bytes")),
+    "select o_orderstatus as status, true as has_bytes from orders group by o_orderstatus",
+)
+
+
+@query(
+    "a8_published_tables",
+    " union all ".join([
+        *(f"select 'gold' as schema_name, '{name}' as table_name, count(*) as row_count from "
+          + {"fct_sales": "g_sales", "fct_web_events": "g_events"}.get(name, f"g_{name}")
+          for name in GOLD_TABLES),
+        "select 'analytics', 'campaign_performance', count(*) from g_dim_campaign",
+        """select 'analytics', 'events_by_channel', count(*) from (
+             select distinct coalesce(channel, 'organic_or_unknown'), event_type
+             from g_events e left join g_dim_campaign c on c.campaign_id = e.campaign_id)""",
+        """select 'analytics', 'revenue_by_category', count(distinct category)
+           from g_sales join g_dim_product using (product_id)""",
+        """select 'analytics', 'revenue_by_month', count(*) from (
+             select distinct year, month from g_sales join g_dim_date using (date_key))""",
+        """select 'analytics', 'top_customers', least(20, count(distinct customer_id))
+           from g_sales""",
+    ]),
+)
+def published_tables(lake: Lake) -> DataFrame:
+    """Gold stored and published, the analytics materialised, all of it read back and counted."""
+    root = lake.scratch("gold")
+    for name, df in lake.tables.items():
+        layout.write_entity(df, f"{root}/{name}", GOLD_TABLES[name].partitioned_by)
+    return catalog.publish(lake.spark, root, lake.scratch("serving")).drop("source")
+
 
 # --- B: projections ---------------------------------------------------------------------------
 
@@ -827,9 +925,13 @@ register(
 register(
     "i16_raw_file_presence",
     lambda lake: quality.raw_file_presence(
-        list_files(lake.spark, lake.sf_dir),
-        ["customer.parquet", "orders.parquet", "lineitem.parquet", "not_there.parquet"],
-    ),
+        list_files(lake.spark, order_folders(lake)), [f"o_orderstatus={x}" for x in "FOPX"]
+    ).drop("description"),
+    """select 'raw' as layer, 'o_orderstatus=' || s.status as entity,
+              'raw_file_presence' as rule_name, n as total_records, 1 - n as failed_records,
+              n = 1 as passed, 100.0::double * n as quality_percentage
+       from (select status, cast(status in (select o_orderstatus from orders) as bigint) as n
+             from (values ('F'), ('O'), ('P'), ('X')) v(status)) s""",
 )
 register(
     "i18_silver_deduplication",
@@ -1132,10 +1234,34 @@ register(
     f"""select layer, entity, rule_name, failed_records from ({ALL_RULES_SQL}) where not passed
         order by layer, entity, rule_name limit 10""",
 )
-register("l6_artifact_sizes", lambda lake: artifact_sizes(
-    lake.spark, [f"{lake.sf_dir}/{n}.parquet" for n in ("orders", "lineitem", "orders")]))
-register("l7_layer_storage_profile", lambda lake: storage_profile.layer_profile(
-    list_layers(lake.spark, {"raw": lake.sf_dir, "gold": f"{lake.sf_dir}/not_there"})))
+@query(
+    "l6_artifact_sizes",
+    """select 'o_orderstatus=' || o_orderstatus as artifact, 1 as file_count, true as has_bytes
+       from orders group by o_orderstatus""",
+)
+def sizes_of_folders(lake: Lake) -> DataFrame:
+    root = order_folders(lake)
+    names = [f"{root}/o_orderstatus={status}" for status in ("F", "O", "P", "F", "none")]
+    found = artifact_sizes(lake.spark, names)
+    return found.select(
+        F.substring_index("artifact", "/", -1).alias("artifact"), "file_count",
+        (F.col("size_bytes") > 0).alias("has_bytes"))
+
+
+@query(
+    "l7_layer_storage_profile",
+    """select layer, file_count, file_count as small_file_count, file_count > 0 as has_bytes from (
+         select o_orderstatus as layer, 1 as file_count from orders group by o_orderstatus
+         union all select 'none', 0)""",
+)
+def profile_of_folders(lake: Lake) -> DataFrame:
+    root, layers = order_folders(lake), ("F", "O", "P", "none")
+    listing = list_layers(lake.spark, {x: f"{root}/o_orderstatus={x}" for x in layers})
+    large = storage_profile.ProfileParameters(small_file_bytes=2**50)
+    return storage_profile.layer_profile(listing, layers, large).select(
+        "layer", "file_count", "small_file_count", (F.col("total_size_bytes") > 0).alias(
+            "has_bytes"))
+
 
 PROFILE = storage_profile.ProfileParameters(
     storage_cost_per_gb_month=1000.0, scan_cost_per_tb=900000.0, small_file_bytes=2500)

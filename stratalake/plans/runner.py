@@ -7,7 +7,7 @@ sit in the stage that writes, where Spark counts every task once however often i
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 from functools import partial, reduce
@@ -92,11 +92,12 @@ def raw_to_bronze(
     formats: Mapping[str, str] | None = None,
     multi_line: bool = False,
     started_at: datetime | None = None,
+    entities: Iterable[str] = tuple(RAW_ENTITIES),
 ) -> list[EntityMetric]:
-    """All six raw entities to bronze Parquet. ``formats`` overrides the format per entity;
-    ``multi_line`` says that JSON files are arrays and not lines."""
+    """The raw entities, all six by default, to bronze Parquet. ``formats`` overrides the format
+    per entity; ``multi_line`` says that JSON files are arrays and not lines."""
     started_at = started_at or _now()
-    sources = {name: join_path(raw_root, e.file_name) for name, e in RAW_ENTITIES.items()}
+    sources = {name: join_path(raw_root, RAW_ENTITIES[name].file_name) for name in entities}
 
     def read(name: str) -> DataFrame:
         return read_entity(spark, sources[name], name, (formats or {}).get(name), multi_line)
@@ -118,7 +119,7 @@ def raw_to_bronze(
 
     def work(metrics: list[EntityMetric], paths: list[str]) -> None:
         require_paths(spark, sources)
-        frames = {name: read(name) for name in RAW_ENTITIES}
+        frames = {name: read(name) for name in sources}
         with sized(spark, total_bytes(frames.values())):
             _side_by_side(spark, {name: partial(load, name, df, paths)
                                   for name, df in frames.items()}, metrics)
@@ -132,6 +133,7 @@ def bronze_to_silver(
     silver_root: str,
     history: str | None = None,
     keep_other_dates: bool = False,
+    entities: Iterable[str] = tuple(RAW_ENTITIES),
 ) -> list[EntityMetric]:
     """Refine, count and write each entity in a single pass over bronze."""
 
@@ -155,10 +157,10 @@ def bronze_to_silver(
             name, counts["records_in"], counts["records_out"], counts["invalid"], share)
 
     def work(metrics: list[EntityMetric], paths: list[str]) -> None:
-        entities = read_layer(spark, bronze_root, RAW_ENTITIES)
-        with sized(spark, total_bytes(entities.values())):
+        frames = read_layer(spark, bronze_root, tuple(entities))
+        with sized(spark, total_bytes(frames.values())):
             _side_by_side(spark, {name: partial(refine, name, df, paths)
-                                  for name, df in entities.items()}, metrics)
+                                  for name, df in frames.items()}, metrics)
 
     return _recorded(spark, "bronze_to_silver", "bronze", "silver", history, work)
 
