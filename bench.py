@@ -24,19 +24,6 @@ from stratalake.sources.layers import read_gold  # noqa: E402
 from stratalake.sources.raw import join_path  # noqa: E402
 
 
-def write_raw(lake: Lake, root: str, cores: int) -> None:
-    """The six raw entities as a source would deliver them: CSV, and JSON lines for the events."""
-    for name, entity in RAW_ENTITIES.items():
-        # The test tables are one row group each; spread the input over the cores as a lake would.
-        writer = lake.raw(name).repartition(cores).write
-        path = join_path(root, entity.file_name)
-        if entity.fmt == "json":
-            writer.json(path)
-        else:
-            writer.option("header", True).option("ignoreLeadingWhiteSpace", False).option(
-                "ignoreTrailingWhiteSpace", False).csv(path)
-
-
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -57,7 +44,9 @@ def main() -> None:
         seconds[name] = round(time.perf_counter() - begun, 3)
 
     lake = Lake(spark, sf_dir)
-    timed("prepare_raw", lambda: write_raw(lake, raw, int(cpus)))
+    # The test tables are one row group each; spread the input over the cores as a lake would.
+    timed("prepare_raw", lambda: [
+        lake.deliver(name, raw, int(cpus)) for name in RAW_ENTITIES])
     timed("build_bronze", lambda: runner.raw_to_bronze(spark, raw, bronze))
     timed("build_silver", lambda: runner.bronze_to_silver(spark, bronze, silver))
     timed("build_gold", lambda: runner.silver_to_gold(spark, silver, gold))

@@ -7,10 +7,12 @@ from datetime import datetime
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from checks.raw_entities import RAW_SQL, TABLES
 from stratalake.plans import bronze, gold, silver
 from stratalake.plans.frames import Frames, Star
+from stratalake.schemas import RAW_ENTITIES
 from stratalake.session import scratch_folder
 from stratalake.sources.raw import join_path
 
@@ -31,6 +33,22 @@ class Lake:
         used = {name: self.table(name) for name in TABLES if "{" + name + "}" in RAW_SQL[entity]}
         return self.spark.sql(RAW_SQL[entity], **used)
 
+    def deliver(self, entity: str, root: str | None = None, files: int | None = None) -> str:
+        """The raw entity as its source would write it, below ``root`` or a fresh folder."""
+        root, source, raw = root or self.scratch("raw"), RAW_ENTITIES[entity], self.raw(entity)
+        if files is not None:
+            raw = raw.repartition(files)
+        if entity == "products":
+            raw = raw.withColumn("created_at", F.lit("2023-01-01"))
+        path = join_path(root, source.file_name)
+        if source.fmt == "json":
+            text = F.col("event_timestamp").cast("string")  # as text, with all its digits
+            raw.withColumn("event_timestamp", text).write.json(path)
+        else:
+            raw.write.option("header", True).option("ignoreLeadingWhiteSpace", False).option(
+                "ignoreTrailingWhiteSpace", False).csv(path)
+        return root
+
     def bronze(self, entity: str) -> DataFrame:
         return bronze.add_lineage(self.raw(entity), f"{entity}.src", RUN_AT)
 

@@ -111,27 +111,11 @@ def partitioned_write(lake: Lake) -> DataFrame:
     return lake.spark.read.parquet(path)
 
 
-def deliver(lake: Lake, entity: str) -> str:
-    """The raw entity as its source would write it, below a fresh raw root."""
-    root, source = lake.scratch("raw"), RAW_ENTITIES[entity]
-    raw = lake.raw(entity)
-    if entity == "products":
-        raw = raw.withColumn("created_at", F.lit("2023-01-01"))
-    path = f"{root}/{source.file_name}"
-    if source.fmt == "json":
-        text = F.col("event_timestamp").cast("string")  # as text, with all its digits
-        raw.withColumn("event_timestamp", text).write.json(path)
-    else:
-        raw.write.option("header", True).option("ignoreLeadingWhiteSpace", False).option(
-            "ignoreTrailingWhiteSpace", False).csv(path)
-    return root
-
-
 def _bronze_entity(entity: str) -> Callable[[Lake], DataFrame]:
     def build(lake: Lake) -> DataFrame:
         target = lake.scratch("bronze")
         runner.raw_to_bronze(
-            lake.spark, deliver(lake, entity), target, started_at=RUN_AT, entities=[entity])
+            lake.spark, lake.deliver(entity), target, started_at=RUN_AT, entities=[entity])
         df = lake.spark.read.parquet(f"{target}/{entity}")
         if entity == "web_events":
             df = df.withColumn("event_timestamp", c.timestamp("event_timestamp"))
@@ -168,7 +152,7 @@ def written_counts(lake: Lake) -> DataFrame:
         bronze_root = lake.scratch("bronze")
         for name in names:
             runner.raw_to_bronze(
-                lake.spark, deliver(lake, name), bronze_root, entities=[name],
+                lake.spark, lake.deliver(name), bronze_root, entities=[name],
                 started_at=RUN_AT + timedelta(days=day))
         metrics = runner.bronze_to_silver(
             lake.spark, bronze_root, target, keep_other_dates=True, entities=names)
