@@ -12,9 +12,9 @@ from stratalake.llm import (
     bpe, cells, line_quality, line_spread, packing, pii, secret_scan, simhash, substring,
     url_filter)
 from stratalake.llm.common import digest
+from stratalake.llm.oracles import ORACLES  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
 
 
 def query(build: Callable[[SparkSession, str], DataFrame]):
@@ -90,34 +90,6 @@ def op6_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
             "n_kept_chars"), digest(F.col("text")).alias("kept_sha256"))
 
 
-ORACLES["op6_line_spread"] = f"""
-with split as (
-  select doc_id, source, string_split(text, chr(10)) as lines from documents where text is not null
-), line as (
-  select doc_id, source, unnest(lines) as line, generate_subscripts(lines, 1) as place from split
-), normal as (
-  select *, trim(regexp_replace(lower(line), '[ \\t\\x0B\\f\\r]+', ' ', 'g')) as norm from line
-), bad as (
-  select norm from normal where norm <> '' group by norm
-  having count(distinct source) >= {line_spread.MIN_SITES}
-), marked as (
-  select n.*, b.norm is not null as is_bad,
-    case when n.norm = '' then 0 else length(n.norm) - length(replace(n.norm, ' ', '')) + 1 end as w
-  from normal n left join bad b on n.norm = b.norm
-), judged as (
-  select *, is_bad and sum(case when is_bad then w else 0 end) over (partition by doc_id)
-    <= {line_spread.MAX_SHARE} * sum(w) over (partition by doc_id) as gone from marked
-), kept as (
-  select doc_id, count(*) filter (where gone) as n_removed,
-    coalesce(string_agg(line, chr(10) order by place) filter (where not gone), '') as text
-  from judged group by doc_id
-)
-select d.doc_id, coalesce(k.n_removed, 0) as n_removed_lines,
-  length(coalesce(k.text, '')) as n_kept_chars, sha256(coalesce(k.text, '')) as kept_sha256
-from documents d left join kept k using (doc_id)
-"""
-
-
 @query
 def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cells.near_duplicates(table(spark, sf_dir, "embeddings"))
