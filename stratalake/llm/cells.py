@@ -1,15 +1,15 @@
 """Embedding near-duplicates: spherical k-means cells, blocked cosine products, one representative.
 
-Centres are fitted on a bounded sample; every vector is then placed. Cells meet in hyperplanes
-through the origin. If two vectors link, the direction midway between them lies within half the
-linking angle of both. Each vector therefore goes to every cell that holds a direction so close to
-it: those no further behind its nearest centre, seen along the line between the two centres, than
-the sine of half the angle. Linked vectors then always meet in the cell of their midpoint, and a
-link counts only there. So no link is missed or counted twice, however good the cells are; poor
-cells only cost time.
+Centres are fitted on a bounded sample; every vector then lives in the cell of its nearest centre.
+Cells meet in hyperplanes through the origin. If two linked vectors live in different cells, they
+lie on either side of the plane between these, and one of them lies no further from it than the sine
+of half the linking angle. So each vector is also a guest of all cells whose plane is that near, and
+residents of a cell are compared with each other and with its guests. A pair that meets twice counts
+in the lower cell. No link is missed or counted twice, however good the cells are; poor cells only
+cost time.
 
-Equal vectors are one before they are placed. A cell with more than a block of vectors is split into
-a triangle of block pairs. A comparison returns counts and spanning links, not pairs.
+Equal vectors are one before they are placed. Residents and guests of a cell are split into blocks,
+and each pair of blocks with a resident in it is a task's work. A comparison returns counts and spanning links, not pairs.
 
 Defined cases: vectors that are NULL, empty, zero or hold a NULL or non-finite number link with
 nothing, nor do vectors of different lengths; a row with a NULL id stays alone; repeated rows link
@@ -32,7 +32,7 @@ from stratalake.llm.simhash import spanning
 
 LEAST_COSINE = 0.95
 #: Vectors to fit the centres on, at most; vectors a cell is meant to have, and centres at most.
-SAMPLE_ROWS, CELL_ROWS, MAX_CELLS = 20_000, 1_000, 512
+SAMPLE_ROWS, CELL_ROWS, MAX_CELLS = 20_000, 500, 1_024
 #: Vectors that are compared with each other in one piece.
 BLOCK = 2_048
 
@@ -57,7 +57,7 @@ def fit_centres(sample: np.ndarray, cells: int, rounds: int = 12) -> np.ndarray:
 
 
 def reached(vectors: np.ndarray, centres: np.ndarray, margin: float) -> np.ndarray:
-    """Which cells hold a direction within the angle of sine ``margin`` of each vector."""
+    """Which cells' planes lie within ``margin`` of each vector; its own cell is one of them."""
     products = vectors @ centres.T
     home = np.argmax(products, axis=1)
     apart = np.sqrt(np.maximum(0, 2 - 2 * centres @ centres.T))
@@ -76,32 +76,39 @@ def _place(
         raw = raw.reshape(-1, size)
         own = centres.get(size)
         if own is None:
-            at, cell = np.arange(len(rows)), np.zeros(len(rows), np.int64)
+            held = np.ones((len(rows), 1), bool)
+            home = np.zeros(len(rows), np.int64)
         else:
-            at, cell = np.nonzero(reached(unit(raw), own, margin))
+            vectors = unit(raw)
+            held, home = reached(vectors, own, margin), np.argmax(vectors @ own.T, axis=1)
+        held[np.arange(len(rows)), home] = True
+        at, cell = np.nonzero(held)
         blobs = [vector.tobytes() for vector in raw]
+        lists_of = [np.flatnonzero(one).astype("<i4").tobytes() for one in held]
+        guest = cell != home[at]
         yield pa.RecordBatch.from_arrays(
             [pa.array([size] * len(at), pa.int32()), pa.array(cell, pa.int32()),
+             pa.array(guest), pa.array(home[at], pa.int32()),
+             pa.array([None if g else lists_of[i] for i, g in zip(at.tolist(), guest.tolist())],
+                      pa.binary()),
              batch.column("key").take(pa.array(rows[at])),
              batch.column("times").take(pa.array(rows[at])),
              pa.array([blobs[i] for i in at.tolist()], pa.binary())],
-            names=["size", "cell", "key", "times", "vector"])
+            names=["size", "cell", "guest", "home", "cells", "key", "times", "vector"])
 
 
 _FOUND = "a long, b long, n long"
 
 
-def _compare(
-    key: tuple, rows: pa.Table, centres: dict[int, np.ndarray], least: float, kind: str
-) -> pa.Table:
+def _compare(key: tuple, rows: pa.Table, least: float, kind: str) -> pa.Table:
     """Rows (a, NULL, links of a found here) and (a, b, 0) for spanning links."""
     size, cell = key[0].as_py(), key[1].as_py()
     vectors = unit(np.frombuffer(b"".join(rows.column("vector").to_pylist()), kind).reshape(
         -1, size))
     keys, times = rows.column("key").to_numpy(), rows.column("times").to_numpy()
-    side = rows.column("side").to_numpy()
-    own = centres.get(size)
-    near = None if own is None else vectors @ own.T
+    side, home = rows.column("side").to_numpy(), rows.column("home").to_numpy()
+    cells = [None if x is None else frozenset(np.frombuffer(x, "<i4").tolist())
+             for x in rows.column("cells").to_pylist()]
     same = bool((side == 0).all())
     left = np.arange(len(keys)) if same else np.flatnonzero(side == 1)
     right = np.arange(len(keys)) if same else np.flatnonzero(side == 2)
@@ -112,10 +119,11 @@ def _compare(
         x, y = some[x], right[y]
         new = x < y if same else np.ones(len(x), bool)
         x, y = x[new], y[new]
-        if own is not None:
-            here = [np.argmax(near[x[k:k + 4096]] + near[y[k:k + 4096]], axis=1) == cell
-                    for k in range(0, len(x), 4096)]
-            here = np.concatenate([np.zeros(0, bool), *here])
+        # A resident may be a guest in the other's home, too; the lower cell then has the pair.
+        twice = (home[y] < cell).nonzero()[0]
+        if len(twice):
+            here = np.ones(len(x), bool)
+            here[[k for k in twice.tolist() if int(home[y[k]]) in cells[x[k]]]] = False
             x, y = x[here], y[here]
         count += np.bincount(x, times[y], len(keys)).astype(np.int64)
         count += np.bincount(y, times[x], len(keys)).astype(np.int64)
@@ -166,18 +174,25 @@ def near_duplicates(
     placed = stored(distinct.select("key", "times", "vector").mapInArrow(
         lambda batches: (x for batch in batches if batch.num_rows
                          for x in _place(batch, centres, margin, kind)),
-        "size int, cell int, key long, times long, vector binary"))
+        "size int, cell int, guest boolean, home int, cells binary, key long, times long, "
+        "vector binary"))
     sizes = placed.groupBy("size", "cell").agg(
-        F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    met = placed.join(sizes, ["size", "cell"]).withColumn(
-        "own", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")).withColumn(
-            "with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        F.ceil(F.count_if(~F.col("guest")) / block).cast("int").alias("residents"),
+        F.ceil(F.count_if("guest") / block).cast("int").alias("guests"))
+    part = F.xxhash64("key")
+    own = F.when(F.col("guest"), F.col("residents") + F.pmod(part, F.col("guests"))).otherwise(
+        F.pmod(part, F.col("residents"))).cast("int")
+    # Blocks of residents come first; blocks of guests meet only those.
+    last = F.when(F.col("guest"), F.col("residents")).otherwise(
+        F.col("residents") + F.col("guests")) - 1
+    met = placed.join(sizes, ["size", "cell"]).where("residents > 0").withColumn(
+        "own", own).withColumn("with", F.explode(F.sequence(F.lit(0), last)))
     side = F.when(F.col("own") == F.col("with"), 0).when(F.col("own") < F.col("with"), 1)
     found = stored(met.select(
         "size", "cell", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"),
-        "key", "times", "vector", side.otherwise(2).cast("byte").alias("side")).groupBy(
-            "size", "cell", "i", "j").applyInArrow(
-                lambda key, rows: _compare(key, rows, centres, least, kind), _FOUND))
+        "home", "cells", "key", "times", "vector",
+        side.otherwise(2).cast("byte").alias("side")).groupBy("size", "cell", "i", "j").applyInArrow(
+            lambda key, rows: _compare(key, rows, least, kind), _FOUND))
     links = found.where("b is null").groupBy("a").agg(F.sum("n").alias("n"))
     member = components(found.where("b is not null").select("a", "b"))
     named = distinct.select("h1", "h2", "key", "times").join(
