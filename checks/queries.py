@@ -483,6 +483,30 @@ register(
               2) as quality_pct from m_orders group by customer_id""",
 )
 
+register(
+    "b9_numbers_from_text",
+    lambda lake: lake.table("lineitem").select(
+        "l_orderkey", "l_linenumber",
+        c.number_or_zero(F.concat(F.lit("  "), "l_linenumber", F.lit(".5 "))).alias("padded"),
+        c.number_or_zero(F.concat(F.lit("-"), "l_linenumber")).alias("negative"),
+        c.number_or_zero(F.concat("l_linenumber", F.lit("x"))).alias("broken")),
+    """select l_orderkey, l_linenumber, l_linenumber + 0.5::double as padded,
+              -l_linenumber::double as negative, 0::double as broken from lineitem""",
+)
+register(
+    "b15_dates_with_dirt",
+    lambda lake: lake.table("orders").select("o_orderkey", c.date(
+        F.when(F.col("o_orderkey") % 7 == 0, "12345-01-01")
+        .when(F.col("o_orderkey") % 7 == 1, "300000-01-01")
+        .when(F.col("o_orderkey") % 7 == 2, "soon")
+        .otherwise(F.col("o_orderdate").cast("date").cast("string"))).alias("day")).withColumn(
+            "date_key", c.date_key(F.col("day"))),
+    """select o_orderkey, cast(day as string) as day,
+              cast(strftime(day, '%Y%m%d') as int) as date_key
+       from (select o_orderkey, case when o_orderkey % 7 > 2 then cast(o_orderdate as date) end as day
+             from orders)""",
+)
+
 # --- C: filters -------------------------------------------------------------------------------
 
 register(
@@ -1041,6 +1065,23 @@ register(
               cast(net_amount as double) as net_amount, payment_method, order_status
        from g_sales""",
 )
+register(
+    "j12_sales_keys",
+    lambda lake: lake.star.fct_sales.agg(
+        F.count("*").alias("sales_rows"), F.count_distinct("sales_key").alias("sales_keys"),
+        F.bool_and((F.col("sales_key") >= 0) & (F.col("sales_key") < c.KEY_SPACE)).alias(
+            "in_range")),
+    """select count(*) as sales_rows, count(distinct order_id || '/' || order_item_id) as sales_keys,
+              true as in_range from g_sales""",
+)
+register(
+    "j13_event_keys",
+    lambda lake: lake.star.fct_web_events.agg(
+        F.count("*").alias("event_rows"), F.count_distinct("event_key").alias("event_keys"),
+        F.bool_and((F.col("event_key") >= 0) & (F.col("event_key") < c.KEY_SPACE)).alias(
+            "in_range")),
+    """select count(*) as event_rows, count(*) as event_keys, true as in_range from g_events""",
+)
 register(
     "j13_fct_web_events",
     lambda lake: natural_ids(lake.star.fct_web_events, lake.star).drop("event_key"),
