@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import stored
+from stratalake.llm.common import sampled, stored
 from stratalake.llm.components import components
 from stratalake.llm.simhash import spanning
 
@@ -141,9 +141,9 @@ def _compare(key: tuple, rows: pa.Table, least: float, kind: str) -> pa.Table:
 def _centres(distinct: DataFrame, sample_rows: int, cell_rows: int, max_cells: int):
     """Centres by vector length, from a sample of at most ``sample_rows`` rows."""
     total = distinct.count()
-    sample = distinct.orderBy("h1", "h2").limit(sample_rows).select("vector").collect()
+    sample = sampled(distinct.select("h1", "h2", "vector"), sample_rows, "h1", "h2").collect()
     by_size: dict[int, list] = {}
-    for row in sample:
+    for row in sorted(sample, key=lambda row: (row["h1"], row["h2"])):
         by_size.setdefault(len(row["vector"]), []).append(row["vector"])
     cells = min(max_cells, max(1, total // cell_rows))
     return {size: fit_centres(unit(np.array(rows)), min(cells, -(-len(rows) // 16)))

@@ -57,6 +57,18 @@ def stored_by(df: DataFrame, key: str, buckets: int) -> DataFrame:
     return table
 
 
+def sampled(df: DataFrame, rows: int, *by: str) -> DataFrame:
+    """At most ``rows`` rows, the same ones every time: one for each bucket of the hash of ``by``.
+
+    It is one aggregation that keeps a row per bucket in every task, so nothing is gathered whose
+    size follows the input. Of a bucket the row with the smallest hash stays, then the smallest row.
+    """
+    key, row = F.xxhash64(*by), F.struct(*(F.col(name) for name in df.columns))
+    kept = df.select(key.alias("key"), row.alias("row")).groupBy(
+        F.pmod("key", F.lit(rows)).alias("bucket")).agg(F.min(F.struct("key", "row")).alias("least"))
+    return kept.select("least.row.*")
+
+
 def width(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 

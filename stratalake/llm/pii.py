@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import arrow_batches
+from stratalake.llm.common import arrow_batches, sampled
 from stratalake.llm.lstm_crf import Tagger, codes
 
 KINDS = ("email", "ip", "card", "phone")
@@ -177,7 +177,7 @@ def train(
     """A tagger from at most ``train_windows`` windows; None without any labelled span."""
     found = docs.select(F.col(text_col).alias("text")).mapInArrow(
         arrow_batches(_windows_of), "window string, tags binary")
-    rows = found.orderBy(F.xxhash64("window"), "window").limit(train_windows).collect()
+    rows = sorted(sampled(found, train_windows, "window").collect())
     if not any(any(row["tags"]) for row in rows):
         return None
     random = np.random.default_rng(seed)
