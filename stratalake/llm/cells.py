@@ -9,7 +9,8 @@ in the lower cell. No link is missed or counted twice, however good the cells ar
 cost time.
 
 Equal vectors are one before they are placed. Residents and guests of a cell are split into blocks,
-and each pair of blocks with a resident in it is a task's work. A comparison returns counts and spanning links, not pairs.
+and each pair of blocks with a resident in it is a task's work. A comparison returns counts and
+spanning links, not pairs.
 
 Defined cases: vectors that are NULL, empty, zero or hold a NULL or non-finite number link with
 nothing, nor do vectors of different lengths; a row with a NULL id stays alone; repeated rows link

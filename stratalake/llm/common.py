@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stratalake.session import scratch_folder
+
 #: A word, in Spark's and in Python's regular expressions alike.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes that separate words; every byte of a longer UTF-8 character is outside this set.
@@ -23,23 +24,9 @@ _BYTE_CODES = np.random.default_rng(20240401).integers(1, 2**63, 256, dtype=np.u
 _ONE = np.uint64(1)
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A fresh folder that driver and executors share.
-
-    It lies below ``spark.checkpoint.dir``. Where that is unset only a local master may use the
-    machine's temporary folder; elsewhere each executor would write to a disk of its own.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    return f"{base.rstrip('/')}/llm-{uuid4().hex}"
-
-
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read back, which cuts its lineage."""
-    path = shared_folder(df.sparkSession)
+    path = scratch_folder(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -50,7 +37,7 @@ def stored_by(df: DataFrame, key: str, buckets: int) -> DataFrame:
     Only the catalogue entry is temporary; the frame keeps the files and their layout.
     """
     spark, name = df.sparkSession, f"llm_{uuid4().hex}"
-    df.write.bucketBy(buckets, key).option("path", shared_folder(spark)).saveAsTable(name)
+    df.write.bucketBy(buckets, key).option("path", scratch_folder(spark)).saveAsTable(name)
     table = spark.table(name)
     table.schema  # resolves the table while its entry is there
     spark.sql(f"DROP TABLE {name}")

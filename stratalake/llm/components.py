@@ -7,13 +7,13 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stratalake.session import scratch_folder
 
-def _checkpointed(df: DataFrame) -> DataFrame:
-    from stratalake.llm.common import shared_folder
 
+def _checkpointed(df: DataFrame) -> DataFrame:
     context = df.sparkSession.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(shared_folder(df.sparkSession))
+        context.setCheckpointDir(scratch_folder(df.sparkSession))
     return df.checkpoint()
 
 

@@ -22,8 +22,6 @@ stays; an empty table gives an empty result; only the id and the text column are
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 import zstandard

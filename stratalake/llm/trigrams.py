@@ -1,7 +1,8 @@
 """Boolean trigram queries: what a text must contain if a regular expression is to match in it.
 
 A query is ``None`` (no condition), a trigram, or ``("and" | "or", [queries])``. Trigrams are in
-lower case, so they hold for patterns in either case when looked up in lower-cased text; only ASCII ones are asked for.
+lower case, so they hold for patterns in either case when looked up in lower-cased text; only ASCII
+ones are asked for.
 """
 
 from __future__ import annotations
