@@ -209,7 +209,8 @@ def order_folders(lake: Lake) -> str:
 register(
     "a13_file_listing",
     lambda lake: list_files(lake.spark, order_folders(lake)).select(
-        F.regexp_extract("path", "o_orderstatus=([^/]+)/[^/]+$", 1).alias("status"), (F.col("length") > 0).alias("has_bytes")),
+        F.regexp_extract("path", "o_orderstatus=([^/]+)/[^/]+$", 1).alias("status"),
+        (F.col("length") > 0).alias("has_bytes")),
     "select o_orderstatus as status, true as has_bytes from orders group by o_orderstatus",
 )
 
@@ -1275,17 +1276,19 @@ def sizes_of_folders(lake: Lake) -> DataFrame:
 
 @query(
     "l7_layer_storage_profile",
-    """select layer, file_count, file_count as small_file_count, file_count > 0 as has_bytes from (
+    """select layer, 'o_orderstatus=' || layer as folder, file_count,
+              file_count as small_file_count, file_count > 0 as has_bytes from (
          select o_orderstatus as layer, 1 as file_count from orders group by o_orderstatus
          union all select 'none', 0)""",
 )
 def profile_of_folders(lake: Lake) -> DataFrame:
     root, layers = order_folders(lake), ("F", "O", "P", "none")
-    listing = list_layers(lake.spark, {x: f"{root}/o_orderstatus={x}" for x in layers})
+    roots = {layer: f"{root}/o_orderstatus={layer}" for layer in layers}
     large = storage_profile.ProfileParameters(small_file_bytes=2**50)
-    return storage_profile.layer_profile(listing, layers, large).select(
-        "layer", "file_count", "small_file_count", (F.col("total_size_bytes") > 0).alias(
-            "has_bytes"))
+    found = storage_profile.layer_profile(list_layers(lake.spark, roots), layers, large, roots)
+    return found.select(
+        "layer", F.substring_index("path", "/", -1).alias("folder"), "file_count",
+        "small_file_count", (F.col("total_size_bytes") > 0).alias("has_bytes"))
 
 
 PROFILE = storage_profile.ProfileParameters(

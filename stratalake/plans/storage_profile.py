@@ -39,9 +39,15 @@ def small_files_flag(
 
 
 def layer_profile(
-    listing: DataFrame, layers: tuple[str, ...] = LAYERS, p: ProfileParameters = DEFAULTS
+    listing: DataFrame,
+    layers: tuple[str, ...] = LAYERS,
+    p: ProfileParameters = DEFAULTS,
+    roots: dict[str, str] | None = None,
 ) -> DataFrame:
-    """Files, bytes, average, small files and the flag per layer; empty layers give zeros."""
+    """Files, bytes, average, small files and the flag per layer; empty layers give zeros.
+
+    ``roots``, the folders that were listed, adds the ``path`` of each layer.
+    """
     names = F.array(*[F.lit(layer) for layer in layers])
     spark = listing.sparkSession
     all_layers = spark.range(1).select(F.explode(names).alias("layer"))
@@ -51,6 +57,9 @@ def layer_profile(
         F.count_if(F.col("length") < p.small_file_bytes).alias("small_file_count"),
     )
     measured = all_layers.join(counted, "layer", "left").na.fill(0)
+    if roots is not None:
+        paths = F.create_map(*[F.lit(part) for pair in roots.items() for part in pair])
+        measured = measured.withColumn("path", paths[F.col("layer")])
     files, total, small = (
         F.col("file_count"), F.col("total_size_bytes"), F.col("small_file_count"),
     )
