@@ -19,7 +19,7 @@ empty table gives an empty result; only the id and the text column are read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -228,15 +228,33 @@ def near_duplicates(
     return found.join(by_print, "print").select(F.col("id").alias(id_col), "print", "component_id")
 
 
+def survivors(
+    docs: DataFrame, near: Callable[[DataFrame, str, str], DataFrame], id_col: str, text_col: str
+) -> DataFrame:
+    """One document with all its columns for each component that ``near`` finds.
+
+    The survivor has the smallest id, a NULL one comes last, then the smallest hashes of its text:
+    an id need not be there, nor name one text. Of rows that repeat both, one stays.
+    """
+    text = F.col(text_col)
+    key = F.struct(
+        F.col(id_col).isNull().alias("missing"), F.col(id_col).alias("id"),
+        F.xxhash64(text).alias("content"), F.xxhash64(F.lit(7), text).alias("content2"))
+    judged = near(docs.select(key.alias("key"), text.alias("text")), "key", "text")
+    kept = judged.select(F.col("component_id").alias("one")).distinct()
+    rows = docs.select(
+        F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias("row"), key.alias("key"))
+    same = [F.col(f"key.{name}").eqNullSafe(F.col(f"one.{name}"))
+            for name in ("id", "content", "content2")]
+    return rows.join(kept, same, "left_semi").dropDuplicates(["key"]).select(
+        *(F.col("row")[name].alias(name) for name in docs.columns))
+
+
 def representatives(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
     bits: int = BITS,
 ) -> DataFrame:
-    """The documents with all their columns that have the smallest id of their component.
-
-    Of repeated rows with that id one stays.
-    """
-    judged = near_duplicates(docs, id_col, text_col, shingle, bits)
-    kept = judged.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(id_col).distinct()
-    return docs.join(kept, docs[id_col].eqNullSafe(kept[id_col]), "left_semi").dropDuplicates(
-        [id_col])
+    """One document with all its columns for each component, see ``survivors``."""
+    return survivors(
+        docs, lambda rows, key, text: near_duplicates(rows, key, text, shingle, bits),
+        id_col, text_col)

@@ -118,6 +118,17 @@ def test_representatives_keep_one_row(docs):
     assert sorted(row.doc_id for row in kept.collect()) == [1, 4, 5, 7, 8]
 
 
+def test_representatives_of_missing_and_repeated_ids(rows):
+    texts = {name: " ".join(f"{name}{k}" for k in range(30)) for name in "abcde"}
+    frame = rows("doc_id long, text string, key string",
+                 (None, texts["a"], "x"), (None, texts["b"], "x"), (None, texts["b"], "x"),
+                 (1, texts["c"], "x"), (1, texts["d"], "x"), (1, texts["d"], "x"),
+                 (None, texts["c"], "x"), (2, texts["e"], "x"), (0, texts["e"], "x"))
+    found = sorted(((r.doc_id, r.text) for r in simhash.representatives(frame).collect()), key=str)
+    assert found == sorted([(None, texts["a"]), (None, texts["b"]), (1, texts["c"]),
+                            (1, texts["d"]), (0, texts["e"])], key=str)
+
+
 def test_line_limits(rows):
     common = "the same line of seven words here"
     body = [f"text {i} " + " ".join(f"w{i}x{k}" for k in range(30)) for i in range(30)]
