@@ -3,7 +3,8 @@
 Lines are compared in lower case with white space collapsed. A line that more than
 ``max(min_documents, host_share * documents of the host)`` distinct texts of a host contain is
 removed from that host's documents, and a document that keeps less than ``least_left`` of its words
-is rejected. Exact copies of a text count as one document: copying alone makes no line frequent.
+is rejected. Exact copies of a text count as one document: copying alone makes no line frequent. ``near_copies``
+counts near copies (see ``jaccard``) as one as well.
 
 Defined cases: a NULL text has no words and fails the base rules, as an empty one does; a NULL host
 is the host ``''``; repeated rows each get their row; documents without any removable line keep all;
@@ -19,8 +20,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stratalake.llm import jaccard
 from stratalake.llm.common import (
-    WORD, arrow_batches, covered, utf8, window_hashes, window_starts, word_hashes)
+    WORD, arrow_batches, covered, stored, utf8, window_hashes, window_starts, word_hashes)
 
 SYMBOLS = "#*$%&|<>"
 BLANKS = "\t\n\x0b\x0c\r "
@@ -85,34 +87,62 @@ def _lines(source: DataFrame) -> DataFrame:
 
 
 def frequent_lines(
-    lines: DataFrame, min_documents: int = MIN_DOCUMENTS, host_share: float = HOST_SHARE
+    lines: DataFrame, min_documents: int = MIN_DOCUMENTS, host_share: float = HOST_SHARE,
+    with_limit: bool = False,
 ) -> DataFrame:
-    """(host, hash) of the lines above their host's limit."""
+    """(host, hash) of the lines above their host's limit, and that ``limit`` if asked for."""
     texts = lines.select("host", "content", "content2").distinct().groupBy("host").agg(
         F.count("*").alias("n_texts"))
     spread = lines.select("host", "hash", "content", "content2").distinct().groupBy(
         "host", "hash").agg(F.count("*").alias("n")).where(F.col("n") > min_documents)
-    return spread.join(texts, "host").where(
-        F.col("n") > F.col("n_texts") * host_share).select("host", "hash")
-
-
-def _losses(source: DataFrame, min_documents: int, host_share: float) -> DataFrame:
+    limit = F.greatest(F.lit(float(min_documents)), F.col("n_texts") * host_share)
+    return spread.join(texts, "host").where(F.col("n") > F.col("n_texts") * host_share).select(
+        "host", "hash", *([limit.alias("limit")] if with_limit else []))
+
+
+def _copies_as_one(source: DataFrame, lines: DataFrame, frequent: DataFrame) -> DataFrame:
+    """``lines`` of the texts with a frequent line, with near copies as one: as ``content``.
+
+    Only those texts can change the count of such a line, and counting fewer makes none frequent.
+    """
+    keys = ["host", "content", "content2"]
+    held = stored(lines.join(frequent, ["host", "hash"]).select(*keys, "hash").distinct())
+    texts = stored(source.join(held.select(*keys).distinct(), keys, "left_semi").dropDuplicates(
+        ["content", "content2"]).select(F.struct("content", "content2").alias("of"), "text"))
+    member = jaccard.near_duplicates(texts, "of", "text").select(
+        F.col("of.content").alias("content"), F.col("of.content2").alias("content2"),
+        F.col("component_id").alias("one"))
+    return held.join(member, ["content", "content2"]).select(
+        "host", "hash", F.col("one.content").alias("content"),
+        F.col("one.content2").alias("content2")).distinct()
+
+
+def _losses(
+    source: DataFrame, min_documents: int, host_share: float, near_copies: bool
+) -> DataFrame:
     """Per distinct text of a host with frequent lines: their hashes and their words."""
     lines = _lines(source)
-    return lines.join(frequent_lines(lines, min_documents, host_share), ["host", "hash"]).groupBy(
+    frequent = frequent_lines(lines, min_documents, host_share)
+    if near_copies:
+        frequent = stored(frequent_lines(lines, min_documents, host_share, with_limit=True))
+        spread = _copies_as_one(source, lines, frequent.select("host", "hash"))
+        frequent = spread.groupBy("host", "hash").agg(F.count("*").alias("n")).join(
+            frequent, ["host", "hash"]).where("n > limit").select("host", "hash")
+    return lines.join(frequent, ["host", "hash"]).groupBy(
         "host", "content", "content2").agg(
             F.collect_set("hash").alias("bad"), F.sum("words").alias("n_removed_words"))
 
 
 def _judged(
-    source: DataFrame, with_text: bool, min_documents: int, host_share: float, least_left: float
+    source: DataFrame, with_text: bool, min_documents: int, host_share: float, least_left: float,
+    near_copies: bool = False,
 ) -> DataFrame:
     carry = [name for name in source.columns if with_text or name != "text"]
     schema = source.select(*carry).schema
     for name in _MEASURES:
         schema = schema.add(name, "long")
     measured = source.mapInArrow(arrow_batches(lambda batch: _measure(batch, carry)), schema)
-    losses = _losses(source, min_documents, host_share)
+    losses = _losses(source, min_documents, host_share, near_copies)
     failed = (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
     removed = F.coalesce("n_removed_words", F.lit(0).cast("long"))
@@ -146,9 +176,15 @@ def cleaned(
     min_documents: int = MIN_DOCUMENTS,
     host_share: float = HOST_SHARE,
     least_left: float = LEAST_LEFT,
+    near_copies: bool = False,
 ) -> DataFrame:
-    """The kept documents with all their columns; frequent lines are taken out of the text."""
-    judged = _judged(_source(docs, text_col, host_col), True, min_documents, host_share, least_left)
+    """The kept documents with all their columns; frequent lines are taken out of the text.
+
+    With ``near_copies`` these count as one document too, so that a group of them is not rejected
+    for the lines its members share.
+    """
+    judged = _judged(_source(docs, text_col, host_col), True, min_documents, host_share, least_left,
+                     near_copies)
     left = F.filter(F.split("text", "\n", -1), lambda line: ~F.array_contains(
         "bad", F.xxhash64(_normal(line))))
     text = F.when(F.col("bad").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
