@@ -27,7 +27,8 @@ from stratalake.llm.common import (
 SYMBOLS = "#*$%&|<>"
 BLANKS = "\t\n\x0b\x0c\r "
 MIN_WORDS, REPEAT_WINDOW, REPEAT_PERCENT = 20, 8, 30
-MIN_DOCUMENTS, HOST_SHARE, LEAST_LEFT = 20, 0.1, 0.3
+#: With no share of the host the limit is the same for every host, however large.
+MIN_DOCUMENTS, HOST_SHARE, LEAST_LEFT = 20, 0.0, 0.3
 
 _MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
