@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from stratalake.llm import cells, line_quality, line_spread, substring
+from stratalake.llm import cells, centroids, line_quality, line_spread, substring
 from stratalake.llm.common import WORD
 
 BLANK = r"[\x20\x09-\x0D]+"
@@ -127,3 +127,55 @@ with recursive vec as (
 select vec_id, coalesce(n, 0) as n_links, component_id, vec_id = component_id as kept
 from least left join counted using (vec_id)
 """
+
+
+def _assigned(number: int) -> str:
+    """The nearest of centroids ``number`` to each vector."""
+    return f"""
+near{number} as (
+  select place, vec_id, x, cluster, distance from (
+    select *, row_number() over (partition by place order by distance, cluster) as nth from (
+      select v.place, v.vec_id, v.x, c.cluster, list_sum(list_transform(
+        range(1, {centroids.DIMENSIONS + 1}), lambda i: (v.x[i] - c.x[i]) * (v.x[i] - c.x[i])
+        )) as distance
+      from vec v, centroid{number} c))
+  where nth = 1
+)"""
+
+
+def _moved(number: int) -> str:
+    """Centroids ``number`` from the vectors assigned before."""
+    return f"""{_assigned(number - 1)},
+total{number} as (
+  select cluster, i, sum(x[i]) as s, count(*) as n
+  from near{number - 1}, range(1, {centroids.DIMENSIONS + 1}) as t(i) group by cluster, i
+), mean{number} as (
+  select cluster, list(cast((s - ((s % n) + n) % n) // n as bigint) order by i) as x
+  from total{number} group by cluster
+), centroid{number} as (
+  select cluster, coalesce(m.x, c.x) as x
+  from centroid{number - 1} c left join mean{number} m using (cluster)
+)"""
+
+
+ORACLES["op13_centroid_clustering"] = f"""
+with vec as (
+  select row_number() over () as place, vec_id, list_transform(embedding, lambda c:
+    cast(floor({centroids.SCALE} * cast(c as double)) as bigint)) as x
+  from embeddings
+  where len(embedding) = {centroids.DIMENSIONS} and len(list_filter(embedding, lambda c:
+    c is not null and isfinite(c))) = {centroids.DIMENSIONS}
+), centroid0 as (
+  select row_number() over (order by hash, x) - 1 as cluster, x
+  from (select sha256('1:' || vec_id) as hash, x from vec order by hash, x limit {centroids.CLUSTERS})
+), {",".join(_moved(number) for number in range(1, centroids.ROUNDS + 1))},
+{_assigned(centroids.ROUNDS)}, inertias as (
+  select cluster, sum(distance) as cluster_inertia from near{centroids.ROUNDS} group by cluster
+)
+select vec_id, cast(cluster as integer) as cluster, cast(distance as bigint) as distance,
+  cast(cluster_inertia as bigint) as cluster_inertia,
+  cast((select sum(distance) from near{centroids.ROUNDS}) as bigint) as inertia,
+  sha256(array_to_string(c.x, ',')) as centroid_sha256
+from near{centroids.ROUNDS} join inertias using (cluster)
+  join centroid{centroids.ROUNDS} c using (cluster)
+"""

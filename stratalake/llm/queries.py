@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.llm import (
-    bpe, cells, line_quality, line_spread, packing, pii, secret_scan, simhash, substring,
-    url_filter)
+    bpe, cells, centroids, line_quality, line_spread, lm_scoring, packing, pii, secret_scan, simhash,
+    substring, url_filter, whitening)
 from stratalake.llm.common import digest
 from stratalake.llm.oracles import ORACLES  # noqa: F401
 
@@ -108,3 +108,22 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id",
         *(F.size(of_kinds(base, (k,))).cast("long").alias(f"n_{k}") for k in pii.KINDS),
         digest(joined_spans(base)).alias("base_sha256"), joined_spans("spans").alias("spans"))
+
+
+@query
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.scored(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = centroids.clustered(table(spark, sf_dir, "embeddings"))
+    parts = F.array_join(F.col("centroid").cast("array<string>"), ",")
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia",
+                        digest(parts).alias("centroid_sha256"))
