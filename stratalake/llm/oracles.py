@@ -59,13 +59,12 @@ twice as (
   select *, trim(regexp_replace(lower(line), '{BLANK}', ' ', 'g')) as norm from line
 ), held as (
   select *, length(norm) - length(replace(norm, ' ', '')) + 1 as w from normal where norm <> ''
-), texts as (
-  select host, count(distinct text) as n_texts from held group by host
+), hosts as (
+  select coalesce(source, '') as host, sqrt(count(*)) as root from documents group by 1
 ), frequent as (
   select host, norm from (
-    select host, norm, count(distinct text) as n from held group by host, norm)
-  join texts using (host)
-  where n > {line_quality.MIN_DOCUMENTS} and n > n_texts * {line_quality.HOST_SHARE}
+    select host, norm, count(distinct doc_id) as n from held group by host, norm)
+  join hosts using (host) where n > {line_quality.MIN_DOCUMENTS} and n > root
 ), lost as (
   select doc_id, sum(w) as lost from held join frequent using (host, norm) group by doc_id
 ), lines as (
@@ -98,16 +97,11 @@ with split as (
   select norm from normal where norm <> '' group by norm
   having count(distinct source) >= {line_spread.MIN_SITES}
 ), marked as (
-  select n.*, b.norm is not null as is_bad,
-    case when n.norm = '' then 0 else length(n.norm) - length(replace(n.norm, ' ', '')) + 1 end as w
-  from normal n left join bad b on n.norm = b.norm
-), judged as (
-  select *, is_bad and sum(case when is_bad then w else 0 end) over (partition by doc_id)
-    <= {line_spread.MAX_SHARE} * sum(w) over (partition by doc_id) as gone from marked
+  select n.*, b.norm is not null as gone from normal n left join bad b on n.norm = b.norm
 ), kept as (
   select doc_id, count(*) filter (where gone) as n_removed,
     coalesce(string_agg(line, chr(10) order by place) filter (where not gone), '') as text
-  from judged group by doc_id
+  from marked group by doc_id
 )
 select d.doc_id, coalesce(k.n_removed, 0) as n_removed_lines,
   length(coalesce(k.text, '')) as n_kept_chars, sha256(coalesce(k.text, '')) as kept_sha256

@@ -140,7 +140,9 @@ def test_line_limits(rows):
     found = by_id(line_quality.verdicts(frame), "n_removed_words", "kept")
     assert all(found[i] == (7, True) for i in range(30))
     assert found[90] == (28, False)  # three of its 31 words are left
-    assert all(found[100 + i] == (0, True) for i in range(60))  # copies are one document
+    assert all(found[100 + i] == (33, False) for i in range(60))  # in 60 documents of their host
+    found = by_id(line_quality.verdicts(frame, distinct_texts=True), "n_removed_words", "kept")
+    assert all(found[100 + i] == (0, True) for i in range(60)) and found[3] == (7, True)
     cleaned = by_id(line_quality.cleaned(frame), "text")
     assert cleaned[3] == (body[3],) and 90 not in cleaned
 
@@ -156,7 +158,7 @@ def test_spread_over_sites(rows):
     found = by_id(line_spread.without_boilerplate(frame, removed_col="gone"), "text", "gone")
     assert all(found[i] == (f"own words of text {i} and more of them", 1) for i in range(10))
     assert found[20][1] == 0
-    assert found[40] == (f"{line}\n  share THIS \t page", 0)  # nothing else in it: a copy
+    assert found[40] == ("", 2)  # a stub loses them like any other
 
 
 def test_exact_counts_near_the_threshold(spark):
