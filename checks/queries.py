@@ -15,6 +15,7 @@ from checks.lake import RUN_AT, Lake
 from checks.raw_entities import RAW_SQL
 from stratalake.functions import columns as c
 from stratalake.operators import attribution, dedup, defects, joins, layout, quality
+from stratalake.operators.sizes import broadcast_if_bounded
 from stratalake.plans import gold, marts, runlog, runner, silver, storage_profile
 from stratalake.plans.frames import Star
 from stratalake.schemas import GOLD_TABLES, RAW_ENTITIES
@@ -617,7 +618,7 @@ def calendar_join(lake: Lake) -> DataFrame:
     orders = lake.silver["orders"].select(
         "order_id", F.to_date("order_date").alias("sales_date")
     )
-    days = F.broadcast(lake.tables["dim_date"].select("date_key", "full_date"))
+    days = broadcast_if_bounded(lake.tables["dim_date"].select("date_key", "full_date"))
     joined = orders.join(days, F.col("sales_date") == F.col("full_date"), "inner")
     return joined.drop("full_date", "sales_date")
 
@@ -712,7 +713,7 @@ register(
 def star_join(lake: Lake) -> DataFrame:
     star = lake.star
     joined = star.fct_sales.join(
-        F.broadcast(star.dim_date.select("date_key", "full_date")), "date_key"
+        broadcast_if_bounded(star.dim_date.select("date_key", "full_date")), "date_key"
     )
     for dim, key, attribute, how in (
         (star.dim_customer, "customer_key", "country", "inner"),

@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass
-from datetime import datetime
+from datetime import datetime, timezone
+from functools import reduce
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.functions import columns as c
 from stratalake.schemas import RUN_STATUSES
-from stratalake.sources.files import artifact_sizes
+from stratalake.sources.files import artifact_sizes, list_files
 
 ENTITY_FIELDS = (
     "entity string, records_in bigint, records_out bigint, invalid_records bigint, "
@@ -117,14 +119,60 @@ def run_row(spark: SparkSession, run: Run) -> DataFrame:
 
 
 def append_run(spark: SparkSession, history_path: str, run: Run) -> None:
-    """Add one run; earlier records are never rewritten, so concurrent jobs do not lose any."""
-    run_row(spark, run).coalesce(1).write.mode("append").json(history_path)
+    """Add one run in a folder of its own; jobs that end at the same time share no output folder,
+    so none removes what another one has not committed yet."""
+    run_row(spark, run).coalesce(1).write.json(f"{history_path.rstrip('/')}/run-{uuid4().hex}")
+
+
+def _folds(history_path: str) -> str:
+    return f"{history_path.rstrip('/')}_folded"
+
+
+def _latest_fold(spark: SparkSession, history_path: str) -> DataFrame | None:
+    """The runs of the newest fold, each with the name of the file it came from."""
+    names = list_files(spark, _folds(history_path)).select(
+        F.max(F.element_at(F.split("path", "/"), -2)).alias("name")).first()["name"]
+    if names is None:
+        return None
+    schema = f"{RUN_SCHEMA}, origin string"
+    return spark.read.schema(schema).json(f"{_folds(history_path)}/{names}")
+
+
+def _open_runs(spark: SparkSession, history_path: str, fold: DataFrame | None) -> DataFrame | None:
+    """The runs whose files the fold does not hold; no other file is opened."""
+    files = list_files(spark, history_path).withColumn(
+        "origin", F.element_at(F.split("path", "/"), -1))
+    if fold is not None:
+        files = files.join(fold.select("origin"), "origin", "left_anti")
+    paths = [row["path"] for row in files.select("path").collect()]  # runs since the last fold
+    if not paths:
+        return None
+    return spark.read.schema(RUN_SCHEMA).json(paths).withColumn(
+        "origin", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1))
+
+
+def _all_runs(spark: SparkSession, history_path: str) -> DataFrame:
+    fold = _latest_fold(spark, history_path)
+    tail = _open_runs(spark, history_path, fold)
+    empty = spark.createDataFrame([], f"{RUN_SCHEMA}, origin string")
+    return reduce(DataFrame.unionByName, [df for df in (fold, tail) if df is not None] or [empty])
+
+
+def fold_history(spark: SparkSession, history_path: str) -> None:
+    """Put all runs that are there now into one file beside the history.
+
+    A fold is complete by itself and names the files it holds, and a reader takes the newest fold and
+    the files it does not name. Files are never removed here, so runs added meanwhile and folds made
+    at the same time lose nothing and count nothing twice. Folded files may be deleted at leisure.
+    """
+    stamp = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f")
+    _all_runs(spark, history_path).coalesce(1).write.json(
+        f"{_folds(history_path)}/{stamp}-{uuid4().hex}")
 
 
 def read_history(spark: SparkSession, history_path: str) -> DataFrame:
-    """All runs, newest first."""
-    runs = spark.read.schema(RUN_SCHEMA).json(history_path)
-    return runs.orderBy(F.desc("started_at"), "job_name")
+    """All runs, newest first: the newest fold and the runs since."""
+    return _all_runs(spark, history_path).drop("origin").orderBy(F.desc("started_at"), "job_name")
 
 
 def history_summary(runs: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from stratalake.operators import layout, quality
 from stratalake.operators.sizes import total_bytes
-from stratalake.plans import bronze, gold, runlog, silver
+from stratalake.plans import bronze, gold, refresh, runlog, silver
 from stratalake.plans.runlog import EntityMetric, Run
 from stratalake.schemas import GOLD_TABLES, RAW_ENTITIES
 from stratalake.session import scratch_folder, sized
@@ -165,22 +165,39 @@ def bronze_to_silver(
     return _recorded(spark, "bronze_to_silver", "bronze", "silver", history, work)
 
 
+def _store_table(
+    gold_root: str, name: str, df: DataFrame, records_in: int, paths: list[str],
+    keep_other_partitions: bool = False,
+) -> EntityMetric:
+    target = join_path(gold_root, name)
+    parts = GOLD_TABLES[name].partitioned_by
+    rows = Observation()
+    clustered = layout.cluster_for_write(df, parts)
+    layout.write_entity(
+        clustered.observe(rows, F.count(F.lit(1)).alias("rows")), target, parts,
+        keep_other_partitions)
+    paths.append(target)
+    return EntityMetric(name, records_in, rows.get["rows"])
+
+
+def _dimensions(entities: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    return {
+        "dim_customer": gold.dim_customer(entities["customers"]),
+        "dim_product": gold.dim_product(entities["products"]),
+        "dim_campaign": gold.dim_campaign(entities["campaigns"]),
+        "dim_date": gold.dim_date(entities["orders"], entities["web_events"]),
+    }
+
+
+def _members(spark: SparkSession, gold_root: str) -> list[DataFrame]:
+    return list(read_layer(spark, gold_root, ("dim_customer", "dim_product", "dim_campaign")).values())
+
+
 def silver_to_gold(
     spark: SparkSession, silver_root: str, gold_root: str, history: str | None = None
 ) -> list[EntityMetric]:
     """Dimensions first; the facts then read the written dimensions instead of rebuilding them."""
 
-    def store(name: str, df: DataFrame, records_in: int, paths: list[str]) -> EntityMetric:
-        target = join_path(gold_root, name)
-        parts = GOLD_TABLES[name].partitioned_by
-        rows = Observation()
-        clustered = layout.cluster_for_write(df, parts)
-        layout.write_entity(
-            clustered.observe(rows, F.count(F.lit(1)).alias("rows")), target, parts
-        )
-        paths.append(target)
-        return EntityMetric(name, records_in, rows.get["rows"])
-
     def work(metrics: list[EntityMetric], paths: list[str]) -> int:
         entities = read_layer(spark, silver_root, RAW_ENTITIES)
         with sized(spark, total_bytes(entities.values())):
@@ -196,18 +213,12 @@ def silver_to_gold(
                 name: sum(counts[entity]["records_in"] for entity in gold.INPUTS[name])
                 for name in tables
             }
-            _side_by_side(spark, {name: partial(store, name, df, taken[name], paths)
-                                  for name, df in tables.items()}, metrics)
+            _side_by_side(spark, {
+                name: partial(_store_table, gold_root, name, df, taken[name], paths)
+                for name, df in tables.items()}, metrics)
 
-        store_all({
-            "dim_customer": gold.dim_customer(entities["customers"]),
-            "dim_product": gold.dim_product(entities["products"]),
-            "dim_campaign": gold.dim_campaign(entities["campaigns"]),
-            "dim_date": gold.dim_date(entities["orders"], entities["web_events"]),
-        })
-        customers, products, campaigns = read_layer(
-            spark, gold_root, ("dim_customer", "dim_product", "dim_campaign")
-        ).values()
+        store_all(_dimensions(entities))
+        customers, products, campaigns = _members(spark, gold_root)
         store_all({
             "fct_sales": gold.fct_sales(entities, customers, products, campaigns),
             "fct_web_events": gold.fct_web_events(entities, customers, campaigns),
@@ -217,6 +228,51 @@ def silver_to_gold(
     return _recorded(spark, "silver_to_gold", "silver", "gold", history, work)
 
 
+def refresh_gold(
+    spark: SparkSession,
+    silver_root: str,
+    gold_root: str,
+    processing_dates: Iterable[str],
+    history: str | None = None,
+) -> list[EntityMetric]:
+    """Bring gold up to date after loads that added the silver rows of ``processing_dates``.
+
+    The dimensions are replaced. Of the facts only the partitions of touched days are written, and
+    files of all other days stay as they are. The result is that of ``silver_to_gold``. A repeated
+    run, or one after a failure, writes the same partitions again.
+    """
+    dates = list(processing_dates)
+
+    def work(metrics: list[EntityMetric], paths: list[str]) -> None:
+        entities = read_layer(spark, silver_root, RAW_ENTITIES)
+        added = {name: df.where(F.col("processing_date").cast("string").isin(dates))
+                 for name, df in entities.items()}
+        added = {name: df for name, df in added.items() if not df.isEmpty()}
+        if not added:
+            return
+        with sized(spark, total_bytes(entities.values())):
+            _side_by_side(spark, {
+                name: partial(_store_table, gold_root, name, df, 0, paths)
+                for name, df in _dimensions(entities).items()}, metrics)
+            customers, products, campaigns = _members(spark, gold_root)
+            jobs = {}
+            for fact, days_of in (("fct_sales", refresh.touched_sales_days),
+                                  ("fct_web_events", refresh.touched_event_days)):
+                reaching = {name: added[name] for name in refresh.REACH[fact] if name in added}
+                if not reaching:
+                    continue
+                kept = scratch_folder(spark)
+                days_of(entities, reaching).coalesce(1).write.parquet(kept)  # days of a calendar
+                days = spark.read.parquet(kept)
+                part = refresh.on_days(entities, days)
+                built = (gold.fct_sales(part, customers, products, campaigns)
+                         if fact == "fct_sales" else gold.fct_web_events(part, customers, campaigns))
+                jobs[fact] = partial(_store_table, gold_root, fact, built, days.count(), paths, True)
+            _side_by_side(spark, jobs, metrics)
+
+    return _recorded(spark, "refresh_gold", "silver", "gold", history, work)
+
+
 def quality_checks(
     spark: SparkSession,
     silver_root: str,

@@ -20,6 +20,11 @@ TUNED = {
     # Catalyst compares compressed file sizes with this, so it stays far below what fits in memory;
     # AQE uses the same limit on real shuffle sizes at run time.
     "spark.sql.autoBroadcastJoinThreshold": str(10 * MIB),
+    # A selective dimension that is too large to broadcast sends a Bloom filter to the scan of the
+    # fact, so rows without a match are dropped before the shuffle.
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": str(64 * MIB),
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": str(256 * MIB),
 }
 NAIVE = {
     "spark.sql.adaptive.enabled": "false",
@@ -91,7 +96,7 @@ def scratch_folder(spark: SparkSession) -> str:
 
 
 @contextmanager
-def _settings(spark: SparkSession, wanted: dict[str, str]) -> Iterator[SparkSession]:
+def settings(spark: SparkSession, wanted: dict[str, str]) -> Iterator[SparkSession]:
     former = {key: spark.conf.get(key, None) for key in wanted}
     try:
         for key, value in wanted.items():
@@ -112,7 +117,7 @@ def profile(
     wanted = dict(PROFILES[name])
     if shuffle_width is not None:
         wanted["spark.sql.shuffle.partitions"] = str(max(4, shuffle_width))
-    return _settings(spark, wanted)
+    return settings(spark, wanted)
 
 
 def sized(
@@ -126,7 +131,7 @@ def sized(
     each have a session of their own (``spark.newSession()``).
     """
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return _settings(spark, {"spark.sql.shuffle.partitions": str(
+    return settings(spark, {"spark.sql.shuffle.partitions": str(
         max(width, shuffle_partitions(input_bytes, target_bytes)))})
 
 

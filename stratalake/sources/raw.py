@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.schemas import RAW_ENTITIES, RawEntity
+from stratalake.session import settings
+from stratalake.sources.records import ESCAPED_LINES, LINES, array_as_lines, split_records
 
 
 def read_csv(spark: SparkSession, path: str, entity: RawEntity) -> DataFrame:
@@ -21,25 +23,67 @@ def read_csv(spark: SparkSession, path: str, entity: RawEntity) -> DataFrame:
     """
     header = spark.read.option("header", True).csv(path).schema
     text = spark.read.schema(header).option("header", True).option("enforceSchema", False).csv(path)
-    return text.select(
-        *[
-            F.col(name).try_cast("double").try_cast("int").alias(name)
-            if entity.columns.get(name) == "int"
-            else F.col(name).try_cast(entity.columns.get(name, "string")).alias(name)
-            for name in text.columns
-        ]
-    )
+    return text.select(*[_typed(F.col(name), name, entity) for name in text.columns])
+
+
+def _typed(value: Column, name: str, entity: RawEntity) -> Column:
+    kind = entity.columns.get(name, "string")
+    whole = value.try_cast("double") if kind == "int" else value
+    return whole.try_cast(kind).alias(name)
+
+
+def checked_csv(
+    spark: SparkSession, path: str, entity: RawEntity, split_bytes: int | None = None,
+    escape: str = '"',
+) -> tuple[DataFrame, DataFrame]:
+    """The rows that fit the header and the types, and the others as (file, reason, raw_text).
+
+    Quoted line breaks stay within their row, and large files are still read by many tasks. Every
+    row that is not blank is in one of the two frames. Quotes inside quotes are doubled, or follow a
+    backslash where that is the ``escape``, as in files that Spark wrote. All files have to share a
+    header.
+    """
+    names = spark.read.option("header", True).csv(path).columns
+    with settings(spark, {} if split_bytes is None else {
+            "spark.sql.files.maxPartitionBytes": str(split_bytes),
+            "spark.sql.files.openCostInBytes": "0"}):
+        kind = LINES if escape == '"' else ESCAPED_LINES
+        found = split_records(spark, path, kind).withColumn(
+            "text", F.regexp_replace(F.col("text").cast("string"), r"\r?\n$", ""))
+    if found.where("first").select("text").distinct().count() > 1:
+        raise ValueError(f"the files of {path} have different headers")
+    quoted = {name: f"`{name.replace('`', '``')}`" for name in names}
+    schema = ", ".join(f"{name} string" for name in [*quoted.values(), "_unfit"])
+    rows = found.where(~F.col("first") & (F.trim("text") != "")).select("file", "text", F.from_csv(
+        "text", schema, {"columnNameOfCorruptRecord": "_unfit", "escape": escape}).alias("row"))
+    value = {name: F.col("row")[name] for name in names}
+    lost = F.array_compact(F.array(*[
+        F.when(value[name].isNotNull() & _typed(value[name], name, entity).isNull(),
+               F.lit(f"{name} is no {entity.columns.get(name)}")) for name in names]))
+    reason = F.when(F.col("row._unfit").isNotNull(), F.lit("number of fields")).when(
+        F.size(lost) > 0, F.array_join(lost, ", "))
+    judged = rows.withColumn("reason", reason)
+    listing = spark.read.format("binaryFile").load(path).select(
+        F.col("_metadata.file_path").alias("path"))
+    files = listing.select(F.xxhash64("path").alias("file"), F.col("path"))
+    kept = judged.where("reason is null").select(
+        *[_typed(value[name], name, entity) for name in names])
+    rejected = judged.where("reason is not null").join(files, "file").select(
+        F.col("path").alias("file"), "reason", F.col("text").alias("raw_text"))
+    return kept, rejected
 
 
 def read_json(
-    spark: SparkSession, path: str, entity: RawEntity, multi_line: bool = False
+    spark: SparkSession, path: str, entity: RawEntity, multi_line: bool = False,
+    split_bytes: int | None = None,
 ) -> DataFrame:
-    """JSON lines, which split, or array files on request (``multi_line``): one task reads each.
+    """JSON lines, or array files on request (``multi_line``), which are first cut into lines.
 
     The columns are those that the data holds: one pass looks for their names, declared ones are
     then cast to their type and the others kept, so a check of required columns sees what is there.
     """
-    text = spark.read.option("multiLine", multi_line).option("primitivesAsString", True).json(path)
+    lines = array_as_lines(spark, path, split_bytes) if multi_line else path
+    text = spark.read.option("primitivesAsString", True).json(lines)
     return text.select(*[
         F.col(name).try_cast(entity.columns[name]).alias(name)
         if name in entity.columns and text.schema[name].dataType.typeName() == "string"
