@@ -147,7 +147,8 @@ def _judged(
         100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
     removed = F.coalesce("n_removed_words", F.lit(0).cast("long"))
     depleted = F.col("n_words") - removed < F.col("n_words") * least_left
-    return measured.join(losses, list(_TEXT), "left").select(
+    # Either side grows with the corpus: neither is built in memory, at any size.
+    return measured.join(losses.hint("merge"), list(_TEXT), "left").select(
         "row", *(["text"] if with_text else []), "bad", *_MEASURES,
         failed.alias("base_failed"), removed.alias("n_removed_words"),
         (~failed & ~depleted).alias("kept"))
