@@ -2,8 +2,11 @@
 
 Large pieces are sorted by length and cut into groups of equal cardinality, each rounded up to its
 longest. Sequences of rounded sizes ("configurations") are optimised as a linear program by column
-generation and rounded down. Actual pieces then take the places of the rounded ones, and what is left
-goes in by best fit, longest first.
+generation, used as often as it says rounded down, and once more for the fractions. Actual pieces
+then take the places of the rounded ones: each place goes to the longest piece left that fits beside
+the pieces before it and the rounded sizes after it, so room that rounding opened is used at once. The
+small pieces go in by best fit, longest first. Where a piece counts as large is tried at a few shares
+of the capacity, and the plan with the fewest sequences is taken.
 
 All of this works on the counts per length. There are at most ``capacity`` lengths, so what reaches
 the driver and the plan that goes back are bounded whatever the number of documents. Spark ranks the
@@ -17,7 +20,7 @@ empty table gives an empty result; only the id and the text column are read.
 from __future__ import annotations
 
 import zlib
-from bisect import bisect_left, insort
+from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,10 +32,8 @@ from stratalake.llm.bpe import ChunkIds, per_chunk
 from stratalake.llm.common import stored, width
 
 CAPACITY, END_ID = 2048, 0
-#: Pieces longer than this share of a sequence are grouped; the rest is filled in by best fit.
-LARGE_SHARE, GROUPS = 1 / 4, 96
-#: Configurations that leave more room than this are not used; best fit does better there.
-LEAST_FILL = 0.995
+#: Pieces longer than such a share of a sequence are grouped; the rest is filled in by best fit.
+LARGE_SHARES, GROUPS = (1 / 3, 1 / 4), 96
 
 
 def pieces(
@@ -110,8 +111,10 @@ class Plan:
     """
 
     def __init__(self, counts: dict[int, int], capacity: int, groups: int = GROUPS,
-                 large_share: float = LARGE_SHARE):
+                 large_share: float = LARGE_SHARES[0]):
         self.capacity, self.bins = capacity, 0
+        #: Pieces that are grouped, and those of them that have a place in a configuration.
+        self.large = self.configured = 0
         self.lengths = np.array(sorted(counts, reverse=True), np.int64)
         self.ends = np.cumsum([counts[n] for n in self.lengths])
         self.begins = self.ends - [counts[n] for n in self.lengths]
@@ -140,44 +143,54 @@ class Plan:
             self.bins += -(-count // each)
 
     def _grouped(self, first: int, last: int, groups: int) -> list[tuple[int, int]]:
-        """Places whole configurations; returns the ranges of items that are left."""
+        """Places the items by configurations; returns the ranges of items that are left."""
         edges = np.unique(np.linspace(first, last, groups + 1).round().astype(np.int64))
         longest = self.lengths[np.searchsorted(self.ends, edges[:-1], side="right")]
+        # Groups that round up to one size are one group.
         sizes, group = np.unique(longest, return_inverse=True)
-        # Groups that round up to one size are one group; the longest ones come first.
-        bounds = [(int(edges[:-1][group == g].min()), int(edges[1:][group == g].max()))
-                  for g in range(len(sizes))]
-        demand = np.array([b - a for a, b in bounds], float)
+        demand = np.bincount(group, np.diff(edges), len(sizes))
         columns, use = configurations(sizes, demand, self.capacity)
-        free = [a for a, _ in bounds]
-        for column, times in zip(columns.T.round().astype(int), np.floor(use + 1e-9).astype(int)):
-            if column @ sizes < self.capacity * LEAST_FILL:
-                continue
-            slots = []
-            for g in np.flatnonzero(column)[::-1]:
-                for _ in range(column[g]):
-                    times = min(times, max(0, (bounds[g][1] - free[g]) // column[g]))
-                    slots.append(g)
-            if times > 0:
-                self._configuration(slots, int(times), free)
-        return sorted((free[g], b) for g, (_, b) in enumerate(bounds) if free[g] < b)
-
-    def _configuration(self, slots: list[int], times: int, free: list[int]) -> None:
-        bases = []
-        for g in slots:
-            bases.append(free[g])
-            free[g] += times
-        cuts = {0, times}
-        for base in bases:
-            cuts |= {e - base for _, e, _ in self._steps(base, base + times)}
-        cuts = sorted(cuts)
-        for a, b in zip(cuts, cuts[1:]):
+        columns, whole = columns.T.round().astype(int), np.floor(use + 1e-9)
+        #: The items of each length that have no place yet, and those lengths in order.
+        self.free = {n: [begin, end] for begin, end, n in self._steps(first, last)}
+        self.left, self.large = sorted(self.free), last - first
+        for k in np.argsort(-(columns @ sizes), kind="stable"):  # the fullest ones first
+            self._configured(np.repeat(sizes, columns[k])[::-1].tolist(), int(whole[k]))
+        for k in np.argsort(whole - use, kind="stable"):
+            if use[k] - whole[k] > 1e-6:
+                self._configured(np.repeat(sizes, columns[k])[::-1].tolist(), 1)
+        return sorted((begin, end) for begin, end in self.free.values() if begin < end)
+
+    def _configured(self, slots: list[int], times: int) -> None:
+        """Actual items for the slots of ``times`` sequences, as far as there are any that fit."""
+        while times > 0:
+            room, after, taken, chosen = self.capacity, sum(slots), {}, []
+            for slot in slots:
+                after -= slot
+                at = bisect_right(self.left, room - after) - 1
+                while at >= 0 and self._count(self.left[at]) <= taken.get(self.left[at], 0):
+                    at -= 1
+                if at < 0:
+                    return
+                chosen.append(self.left[at])
+                taken[chosen[-1]] = taken.get(chosen[-1], 0) + 1
+                room -= chosen[-1]
+            # The same lengths serve as many sequences as there are items of each.
+            count = min(times, *(self._count(n) // each for n, each in taken.items()))
             offset = 0
-            for base in bases:
-                self.runs.append((base + a, b - a, self.bins + a, 1, offset))
-                offset += int(self.lengths[np.searchsorted(self.ends, base + a, side="right")])
-            self._opened(self.bins + a, b - a, offset)
-        self.bins += times
+            for n in chosen:
+                self.runs.append((self.free[n][0], count, self.bins, 1, offset))
+                self.free[n][0] += count
+                offset += n
+            self.left = [n for n in self.left if n not in taken or self._count(n)]
+            self._opened(self.bins, count, offset)
+            self.bins += count
+            self.configured += count * len(chosen)
+            times -= count
+
+    def _count(self, length: int) -> int:
+        begin, end = self.free[length]
+        return end - begin
 
     def _opened(self, first: int, count: int, offset: int) -> None:
         if count and offset < self.capacity:
@@ -207,6 +220,12 @@ class Plan:
                 self._opened(first + full, count - full, offset)
 
 
+def best_plan(counts: dict[int, int], capacity: int = CAPACITY) -> Plan:
+    """The plan with the fewest sequences for so many pieces of each length."""
+    return min((Plan(counts, capacity, large_share=share) for share in LARGE_SHARES),
+               key=lambda plan: plan.bins)
+
+
 def packed(
     docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
     capacity: int = CAPACITY, end_id: int = END_ID,
@@ -219,7 +238,7 @@ def packed(
     parts = salted.groupBy("length", "salt").agg(F.count("*").alias("n"))
     counts = {row["length"]: row["n"] for row in parts.groupBy("length").agg(
         F.sum("n").alias("n")).collect()}  # one row per length, at most ``capacity``
-    plan = Plan(counts, capacity)
+    plan = best_plan(counts, capacity)
     lengths = plan.lengths
     longer = dict(zip(lengths.tolist(), plan.begins.tolist()))
     runs = np.array(sorted(plan.runs), np.int64).reshape(-1, 5)
