@@ -1,13 +1,16 @@
 """Personal data: fixed rules, and spans that a BiLSTM-CRF over characters adds to them.
 
 The rules' spans stay as they are. They also label the training windows: up to ``train_windows``
-windows around digits and ``@`` are drawn by hash, their spans varied in form, and the tagger is
-trained on them in numpy on the driver. It then reads every place where a span can be. Every span
-of the four kinds holds a digit or an ``@``, so places further than ``REACH`` characters from one
-are not read; the rest of a text is one region per cluster of them, however long. A region is cut
-into overlapping windows, their scores are averaged with weights that favour a window's middle, and
-one best path is taken through the whole region. A span that the tagger finds counts if it touches
-no rule's span and has its kind's form.
+windows around digits and ``@`` are drawn by hash, half of them without a span and the others in equal
+parts from all kinds. Each is trained on as it is and in a form that the rules do not know: addresses
+with ``(at)`` or blanks, cards with dots, phone numbers without a country code. The tagger is trained
+in numpy on the driver. It then reads every place where a span can be. Every span holds a digit, an
+``@`` or an ``(at)``, so places further than ``REACH`` characters from one are not read; the rest of a
+text is one region per cluster of them, however long. A region is cut into overlapping windows, their
+scores are averaged with weights that favour a window's middle, and one best path is taken through
+the whole region. A span that the tagger finds counts if it touches no rule's span and is plausible
+for its kind: a card needs a valid check digit, a phone number 7 to 15 digits in groups, and a date is
+neither.
 
 Defined cases: a NULL text is empty; without any labelled span only the rules apply; repeated rows
 and NULL ids keep their rows; an empty table gives an empty result; only the id and the text column
@@ -24,13 +27,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import arrow_batches, sampled
+from stratalake.llm.common import arrow_batches
 from stratalake.llm.lstm_crf import Tagger, codes
 
 KINDS = ("email", "ip", "card", "phone")
 REACH, WINDOW, STRIDE = 24, 64, 32
 #: Training windows at most, and optimiser steps.
-TRAIN_WINDOWS, TRAIN_STEPS = 1_500, 240
+TRAIN_WINDOWS, TRAIN_STEPS = 1_500, 400
+#: Further forms of a training window, at most.
+FORMS = 6
 
 Span = tuple[int, int, int]  # kind, start, end
 
@@ -40,7 +45,8 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_TRIGGER = re.compile(r"[0-9@]")
+_AT, _DOT = r"(?:@|\(at\)|\[at\])", r"(?:\.|\(dot\)|\[dot\])"
+_TRIGGER = re.compile(rf"[0-9]|{_AT}")
 
 
 def _emails(text: str) -> Iterator[tuple[int, int]]:
@@ -83,7 +89,7 @@ def _is_phone(text: str) -> bool:
 
 
 def has_trigger(text: str) -> bool:
-    return any(char in text for char in "0123456789@")
+    return any(char in text for char in ("@", "(at)", "[at]", *"0123456789"))
 
 
 def rule_spans(text: str) -> tuple[list[Span], list[tuple[int, int]]]:
@@ -100,15 +106,26 @@ def rule_spans(text: str) -> tuple[list[Span], list[tuple[int, int]]]:
 
 
 _FORM = (
-    re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
-    re.compile(r"[0-9]{1,3}(\.[0-9]{1,3}){3}"),
-    re.compile(r"[0-9]([\x20-]?[0-9])+"),
-    re.compile(r"\+?[0-9(][\x20().0-9-]+[0-9]"),
+    re.compile(rf"[A-Za-z0-9._%+-]+\x20?{_AT}\x20?[A-Za-z0-9-]+(?:\x20?{_DOT}\x20?[A-Za-z0-9-]+)+"),
+    re.compile(r"[0-9]{1,3}(?:\x20?\.\x20?[0-9]{1,3}){3}"),
+    re.compile(r"[0-9](?:[\x20./-]?[0-9])+"),
+    re.compile(r"[+(]?[0-9][\x20().0-9/-]+[0-9]"),
 )
-_TESTS = (lambda s: True, _is_ip, _is_card, _is_phone)
+_DATE = re.compile(
+    r"(?:19|20)[0-9]{2}([-./ ])[0-9]{1,2}\1[0-9]{1,2}|[0-9]{1,2}([-./ ])[0-9]{1,2}\2(?:19|20)[0-9]{2}")
+
+
+def _is_phone_form(text: str) -> bool:
+    groups = re.findall(r"[0-9]+", text)
+    return (7 <= sum(map(len, groups)) <= 15 and len(groups) > 1 and not _DATE.fullmatch(text)
+            and (text[0] in "+(0" or len(groups) > 2) and not _FORM[1].fullmatch(text))
+
+
+_TESTS = (lambda s: True, lambda s: _is_ip(s.replace(" ", "")), _is_card, _is_phone_form)
 
 
 def has_form(kind: int, text: str) -> bool:
+    """Whether a span that the tagger found can be of its kind."""
     return bool(_FORM[kind].fullmatch(text)) and _TESTS[kind](text)
 
 
@@ -135,39 +152,61 @@ def _tags(begin: int, end: int, spans: list[Span]) -> np.ndarray:
 
 def _windows_of(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """Labelled windows: those that hold whole spans, or none, and no failed match."""
-    texts, labels = [], []
+    texts, labels, kinds = [], [], []
     for text in batch.column("text").to_pylist():
         if not text or not has_trigger(text):
             continue
         spans, failed = rule_spans(text)
-        for begin, end in regions(text):
-            end = min(end, begin + WINDOW)
-            apart = all(b <= begin or a >= end for a, b in failed)
-            if apart and all(b <= begin or a >= end or (a >= begin and b <= end)
-                             for _, a, b in spans):
-                texts.append(text[begin:end])
-                labels.append(bytes(_tags(begin, end, spans).astype(np.uint8)))
+        for first, last in regions(text):
+            for begin in range(first, max(first + 1, last - WINDOW + STRIDE), STRIDE):
+                end = min(last, begin + WINDOW)
+                held = [(kind, a, b) for kind, a, b in spans if a < end and b > begin]
+                if all(b <= begin or a >= end for a, b in failed) and all(
+                        begin <= a and b <= end for _, a, b in held):
+                    texts.append(text[begin:end])
+                    labels.append(bytes(_tags(begin, end, held).astype(np.uint8)))
+                    kinds.append(held[0][0] if held else -1)
     yield pa.RecordBatch.from_arrays(
-        [pa.array(texts, pa.string()), pa.array(labels, pa.binary())], names=["window", "tags"])
-
-
-def _varied(text: str, tags: np.ndarray, random: np.random.Generator) -> tuple[str, np.ndarray]:
-    """Other digits, and for a phone number other separators; the labels stay with their parts."""
-    chars, keep = list(text), np.ones(len(text), bool)
-    phone = 2 + 2 * KINDS.index("phone")
-    style = random.integers(0, 4)
-    for at, char in enumerate(chars):
-        if tags[at] and char.isdigit() and char.isascii():
-            chars[at] = str(random.integers(0, 10))
-        if tags[at] == phone:
-            if style == 1 and char in "()":
-                keep[at] = False
-            elif style == 2 and char in " -":
-                chars[at] = "."
-            elif style == 3 and char in "()- ":
-                keep[at] = False
-    kept = np.flatnonzero(keep)
-    return "".join(chars[at] for at in kept), tags[kept]
+        [pa.array(texts, pa.string()), pa.array(labels, pa.binary()), pa.array(kinds, pa.int32())],
+        names=["window", "tags", "kind"])
+
+
+def formed(kind: int, text: str, random: np.random.Generator) -> str:
+    """A span with other digits, in a form of its kind that the rules may not know."""
+    text = re.sub(r"[0-9]", lambda _: str(random.integers(0, 10)), text)
+    if kind == 0:
+        at, dot = (("@", "."), (" @ ", "."), ("(at)", "."), (" (at) ", " (dot) "), ("[at]", "[dot]"),
+                   (" [at] ", "."))[random.integers(0, 6)]
+        local, _, domain = text.partition("@")
+        return f"{local}{at}{domain.replace('.', dot)}"
+    if kind == 1:
+        return text.replace(".", (".", ".", " . ")[random.integers(0, 3)])
+    if kind == 2:
+        digits, mark = _digits(text), (" ", "-", ".", "/", "")[random.integers(0, 5)]
+        return mark.join(digits[at:at + 4] for at in range(0, len(digits), 4))
+    digits, style = _digits(text), int(random.integers(0, 5))
+    if style == 0:
+        return text
+    if style == 1:
+        return re.sub(r"[()\x20.-]+", ".", text)
+    mark, local = (" ", "-", "/", ".")[random.integers(0, 4)], digits[2:]
+    if style == 2:
+        return f"0{local[:3]}{mark}{local[3:]}"
+    if style == 3:
+        return f"({local[:3]}) {local[3:6]}-{local[6:]}"
+    return mark.join((local[:3], local[3:6], local[6:]))
+
+
+def varied(text: str, tags: np.ndarray, random: np.random.Generator) -> tuple[str, np.ndarray]:
+    """The text with its spans in other forms, and their tags."""
+    parts, found, last = [], [], 0
+    for kind, begin, end in _spans_of(tags):
+        span = formed(kind, text[begin:end], random)
+        parts += [text[last:begin], span]
+        found += [np.zeros(begin - last, np.int64), _tags(0, len(span), [(kind, 0, len(span))])]
+        last = end
+    return "".join([*parts, text[last:]]), np.concatenate(
+        [*found, np.zeros(len(text) - last, np.int64)])
 
 
 def train(
@@ -176,17 +215,28 @@ def train(
 ) -> Tagger | None:
     """A tagger from at most ``train_windows`` windows; None without any labelled span."""
     found = docs.select(F.col(text_col).alias("text")).mapInArrow(
-        arrow_batches(_windows_of), "window string, tags binary")
-    rows = sorted(sampled(found, train_windows, "window").collect())
+        arrow_batches(_windows_of), "window string, tags binary, kind int")
+    # Of each bucket the window with the smallest hash stays: the same ones every time, and all kinds
+    # have their part however rare they are.
+    share = F.when(F.col("kind") < 0, train_windows // 2).otherwise(
+        train_windows // (2 * len(KINDS)))
+    key = F.xxhash64("window")
+    kept = found.groupBy("kind", F.pmod(key, F.greatest(F.lit(1), share)).alias("bucket")).agg(
+        F.min(F.struct(key.alias("key"), "window", "tags")).alias("least"))
+    rows = sorted(kept.select("least.window", "least.tags").collect())
     if not any(any(row["tags"]) for row in rows):
         return None
-    random = np.random.default_rng(seed)
-    x, y = np.zeros((2 * len(rows), WINDOW), np.int64), np.zeros((2 * len(rows), WINDOW), np.int64)
-    for place, row in enumerate(rows):
+    random, windows, labels = np.random.default_rng(seed), [], []
+    for row in rows:
         tags = np.frombuffer(row["tags"], np.uint8).astype(np.int64)
-        for at, (text, own) in ((place, (row["window"], tags)),
-                                (place + len(rows), _varied(row["window"], tags, random))):
-            x[at, :len(text)], y[at, :len(text)] = codes(text), own
+        # Where there are few windows with spans, each is there in more forms.
+        for nth in range(1 + min(FORMS, 2 * train_windows // len(rows)) if tags.any() else 1):
+            text, own = varied(row["window"], tags, random) if nth else (row["window"], tags)
+            windows.append(codes(text)[:WINDOW])
+            labels.append(own[:WINDOW])
+    x, y = np.zeros((len(windows), WINDOW), np.int64), np.zeros((len(windows), WINDOW), np.int64)
+    for place, (window, own) in enumerate(zip(windows, labels)):
+        x[place, :len(window)], y[place, :len(own)] = window, own
     tagger = Tagger(len(KINDS))
     tagger.fit(x, y, steps=steps)
     return tagger
