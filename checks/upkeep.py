@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from checks.lake import RUN_AT, Lake
-from checks.queries import natural_ids, query, register, run_history
+from checks.queries import (
+    ALL_RULES_SQL, G_NAMES, NATURAL, integrity_sql, natural_ids, query, register, repeated_counts,
+    result_sql, run_history)
 from stratalake.functions import columns as c
-from stratalake.operators import bitmaps, defects, dense_keys, layout
+from stratalake.operators import bitmaps, defects, dense_keys, layout, quality
 from stratalake.plans import runlog, runner
 from stratalake.plans.frames import Star
 from stratalake.schemas import RAW_ENTITIES
@@ -285,3 +287,43 @@ def run_row(lake: Lake) -> DataFrame:
     return runlog.read_history(lake.spark, history).select(
         "job_name", "records_in", "records_out", "invalid_records", "valid_data_percentage",
         "status", F.size("entity_metrics").cast("bigint").alias("entities"))
+
+
+SINK_SQL = " union all ".join([
+    ALL_RULES_SQL,
+    *(result_sql("silver", rule.entity, rule.name, repeated_counts(f"s_{rule.entity}", rule.key[0]))
+      for rule in quality.DEDUPLICATION_RULES),
+    *(integrity_sql("gold", child, NATURAL[key], parent, G_NAMES)
+      for child, key, parent in quality.FACT_REFERENCES)])
+
+
+@query(
+    "a11_quality_sink",
+    f"""select layer, entity, rule_name, total_records, failed_records, passed
+        from ({SINK_SQL})""",
+)
+def quality_sink(lake: Lake) -> DataFrame:
+    """The results of the quality job as they are stored."""
+    silver_root, gold_root, results = (lake.scratch(name) for name in ("silver", "gold", "results"))
+    for name, df in lake.silver.items():
+        layout.write_entity(df, join_path(silver_root, name))
+    runner.silver_to_gold(lake.spark, silver_root, gold_root)
+    runner.quality_checks(lake.spark, silver_root, gold_root, results)
+    return lake.spark.read.json(join_path(results, "checks")).select(
+        "layer", "entity", "rule_name", "total_records", "failed_records", "passed")
+
+
+@query(
+    "m1_cached_frame",
+    """select 'order_status' as name, order_status as value, count(*) as orders from s_orders
+       group by order_status union all
+       select 'payment_method', payment_method, count(*) from s_orders group by payment_method""",
+)
+def cached_orders(lake: Lake) -> DataFrame:
+    """Two results of one frame that is refined once."""
+    path = lake.scratch("counts")
+    with layout.cached(lake.silver["orders"].select("order_status", "payment_method")) as held:
+        for name in held.columns:
+            held.groupBy(F.lit(name).alias("name"), F.col(name).alias("value")).agg(
+                F.count("*").alias("orders")).write.mode("append").parquet(path)
+    return lake.spark.read.parquet(path)

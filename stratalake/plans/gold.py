@@ -270,16 +270,21 @@ def invalid_input_total(silver: Mapping[str, DataFrame]) -> DataFrame:
 
 def table_stats(silver: Mapping[str, DataFrame], star: Mapping[str, DataFrame]) -> DataFrame:
     """(table_name, input_rows, output_rows) per gold table."""
-    needs = [(table, entity) for table, entities in INPUTS.items() for entity in entities]
-    rows_in = reduce(
+    counts = reduce(
         DataFrame.unionByName,
         [
             silver[entity].agg(F.count("*").alias("input_rows")).select(
-                F.lit(table).alias("table_name"), "input_rows"
+                F.lit(entity).alias("entity"), "input_rows"
             )
-            for table, entity in needs
+            for entity in dict.fromkeys(name for names in INPUTS.values() for name in names)
         ],
     )
+    needs = F.array(*[
+        F.struct(F.lit(table).alias("table_name"), F.lit(entity).alias("entity"))
+        for table, entities in INPUTS.items() for entity in entities
+    ])
+    # An entity that feeds two tables is counted once.
+    rows_in = counts.sparkSession.range(1).select(F.inline(needs)).join(counts, "entity")
     rows_out = reduce(
         DataFrame.unionByName,
         [

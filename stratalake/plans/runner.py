@@ -24,7 +24,8 @@ from stratalake.schemas import GOLD_TABLES, RAW_ENTITIES
 from stratalake.session import scratch_folder, sized
 from stratalake.sources.files import list_files
 from stratalake.sources.layers import read_gold, read_layer
-from stratalake.sources.raw import join_path, missing_columns, read_entity, require_paths
+from stratalake.sources.raw import (
+    checked_csv, join_path, missing_columns, read_entity, require_paths)
 
 
 def _now() -> datetime:
@@ -93,14 +94,25 @@ def raw_to_bronze(
     multi_line: bool = False,
     started_at: datetime | None = None,
     entities: Iterable[str] = tuple(RAW_ENTITIES),
+    rejects_root: str | None = None,
 ) -> list[EntityMetric]:
     """The raw entities, all six by default, to bronze Parquet. ``formats`` overrides the format
-    per entity; ``multi_line`` says that JSON files are arrays and not lines."""
+    per entity; ``multi_line`` says that JSON files are arrays and not lines.
+
+    With ``rejects_root`` the CSV rows that do not fit their header or types are stored there, by
+    entity with file, reason and raw text, and count as invalid; without it they enter bronze with
+    NULLs.
+    """
     started_at = started_at or _now()
+    rejected: dict[str, DataFrame] = {}
     sources = {name: join_path(raw_root, RAW_ENTITIES[name].file_name) for name in entities}
 
     def read(name: str) -> DataFrame:
-        return read_entity(spark, sources[name], name, (formats or {}).get(name), multi_line)
+        fmt = (formats or {}).get(name, RAW_ENTITIES[name].fmt)
+        if rejects_root is not None and fmt == "csv":
+            kept, rejected[name] = checked_csv(spark, sources[name], RAW_ENTITIES[name])
+            return kept
+        return read_entity(spark, sources[name], name, fmt, multi_line)
 
     def load(name: str, df: DataFrame, paths: list[str]) -> EntityMetric:
         entity = RAW_ENTITIES[name]
@@ -115,7 +127,16 @@ def raw_to_bronze(
         )
         paths.append(target)
         written = rows.get["records_in"]  # nothing is dropped on the way
-        return EntityMetric(name, written, written)
+        if name not in rejected:
+            return EntityMetric(name, written, written)
+        refused = Observation()
+        target = join_path(rejects_root, name)
+        layout.write_entity(
+            rejected[name].observe(refused, F.count(F.lit(1)).alias("rows")), target)
+        paths.append(target)
+        invalid = refused.get["rows"]
+        return EntityMetric(name, written + invalid, written, invalid,
+                            _percentage(written + invalid, invalid))
 
     def work(metrics: list[EntityMetric], paths: list[str]) -> None:
         require_paths(spark, sources)
@@ -239,7 +260,8 @@ def refresh_gold(
 
     The dimensions are replaced. Of the facts only the partitions of touched days are written, and
     files of all other days stay as they are. The result is that of ``silver_to_gold``. A repeated
-    run, or one after a failure, writes the same partitions again.
+    run, or one after a failure, writes the same partitions again. The rows read, as the run records
+    them, are those that were added.
     """
     dates = list(processing_dates)
 
@@ -247,12 +269,14 @@ def refresh_gold(
         entities = read_layer(spark, silver_root, RAW_ENTITIES)
         added = {name: df.where(F.col("processing_date").cast("string").isin(dates))
                  for name, df in entities.items()}
-        added = {name: df for name, df in added.items() if not df.isEmpty()}
+        rows = {name: df.count() for name, df in added.items()}
+        added = {name: df for name, df in added.items() if rows[name]}
         if not added:
             return
+        taken = {name: sum(rows[entity] for entity in gold.INPUTS[name]) for name in GOLD_TABLES}
         with sized(spark, total_bytes(entities.values())):
             _side_by_side(spark, {
-                name: partial(_store_table, gold_root, name, df, 0, paths)
+                name: partial(_store_table, gold_root, name, df, taken[name], paths)
                 for name, df in _dimensions(entities).items()}, metrics)
             customers, products, campaigns = _members(spark, gold_root)
             jobs = {}
@@ -267,7 +291,7 @@ def refresh_gold(
                 part = refresh.on_days(entities, days)
                 built = (gold.fct_sales(part, customers, products, campaigns)
                          if fact == "fct_sales" else gold.fct_web_events(part, customers, campaigns))
-                jobs[fact] = partial(_store_table, gold_root, fact, built, days.count(), paths, True)
+                jobs[fact] = partial(_store_table, gold_root, fact, built, taken[fact], paths, True)
             _side_by_side(spark, jobs, metrics)
 
     return _recorded(spark, "refresh_gold", "silver", "gold", history, work)

@@ -8,6 +8,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from stratalake.plans import runner
 from stratalake.schemas import RAW_ENTITIES
 from stratalake.session import settings
 from stratalake.sources import records
@@ -101,3 +102,17 @@ def test_the_entity_reader_takes_arrays(spark, tmp_path):
     path = tmp_path / "web_events.json"
     path.write_text(json.dumps([{"event_id": "e1", "event_timestamp": "2024-01-01 00:00:00"}]))
     assert read_entity(spark, str(path), "web_events", multi_line=True).count() == 1
+
+
+def test_the_loader_keeps_rejected_rows(spark, tmp_path):
+    header = ",".join(RAW_ENTITIES["products"].columns)
+    (tmp_path / "products.csv").write_text(
+        f"{header}\np1,\"a\nb\",c,2.5,\np2,b,c,free,\np3,short\n")
+    roots = [str(tmp_path / name) for name in ("bronze", "rejects")]
+    metric, = runner.raw_to_bronze(
+        spark, str(tmp_path), roots[0], entities=["products"], rejects_root=roots[1])
+    assert (metric.records_in, metric.records_out, metric.invalid_records) == (3, 1, 2)
+    kept = spark.read.parquet(f"{roots[0]}/products").first()
+    assert (kept.product_id, kept.product_name, kept.unit_price) == ("p1", "a\nb", 2.5)
+    reasons = [r.reason for r in spark.read.parquet(f"{roots[1]}/products").collect()]
+    assert sorted(reasons) == ["number of fields", "unit_price is no double"]

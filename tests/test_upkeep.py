@@ -161,7 +161,8 @@ def test_a_filter_on_one_column_reads_few_files(spark, tmp_path):
         F.when(F.col("id") % 50 > 0, F.col("id") * 15_485_863 % 997).alias("product"))
     path = tmp_path / "clustered"
     columns = ["day", "customer", "product"]
-    layout.cluster_by_ranges(frame, columns, 128).write.parquet(str(path))
+    layout.cluster_by_ranges(frame, columns, 128).write.option("maxRecordsPerFile", 150).parquet(
+        str(path))
     assert plain(spark.read.parquet(str(path))) == plain(frame)
     stats = []
     for file in path.glob("*.parquet"):
