@@ -32,6 +32,8 @@ SYMBOLS = "#*$%&|<>"
 BLANKS = "\t\n\x0b\x0c\r "
 MIN_WORDS, REPEAT_WINDOW, REPEAT_PERCENT = 20, 8, 30
 MIN_DOCUMENTS, LEAST_LEFT = 20, 0.3
+#: Text that is hashed together: hashing takes some fifty times as much memory for a moment.
+BATCH_BYTES = 1 << 19
 
 _MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
@@ -141,7 +143,8 @@ def _judged(
     schema = source.select(*carry).schema
     for name in _MEASURES:
         schema = schema.add(name, "long")
-    measured = source.mapInArrow(arrow_batches(lambda batch: _measure(batch, carry)), schema)
+    measured = source.mapInArrow(
+        arrow_batches(lambda batch: _measure(batch, carry), BATCH_BYTES), schema)
     losses = _losses(source, min_documents, distinct_texts, near)
     failed = (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
