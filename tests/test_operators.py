@@ -9,6 +9,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from stratalake.functions import columns as c
 from stratalake.operators import attribution, dedup, defects, joins, layout
 from stratalake.operators.sizes import (
     auto_limit, broadcast_if_bounded, looks_small, measured_bytes, total_bytes,
@@ -396,3 +397,30 @@ def test_defects_hit_at_least_one_row(rows):
     items = rows("id int, quantity int", (1, 3), (2, 4))
     assert {r.id: r.quantity for r in defects.negative_quantity(items, "id").collect()} == {
         1: -3, 2: 4}
+
+
+def test_lanes_and_dates_are_not_copied_into_filters(spark):
+    """Filters below a join would repeat a nested expression once for each time it is written."""
+    text = spark.range(8).select(F.concat(F.lit("2024-01-0"), F.col("id") + 1).alias("day"), "id")
+    left = text.select("id", c.date(c.timestamp("day")).alias("day"))
+    weeks = F.date_add(F.lit("2024-01-02").cast("date"), F.col("id").cast("int") * 7)
+    right = spark.range(4).select(weeks.alias("day")).distinct()
+    joined = joins.splittable_join(left, right, ["day"], "left_semi")
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in plan.splitlines() if "Filter" in line]
+    assert filters and all("xxhash64" not in line for line in filters)
+    assert max(line.count("concat(") for line in filters) <= 1
+    assert [row["id"] for row in joined.collect()] == [1]
+
+
+def test_naive_campaigns_spread_sales_without_one(spark):
+    """Sales without a campaign go to all reducers, and the join stays a sort-merge join."""
+    sales = spark.range(400).select(
+        F.when(F.col("id") < 0, F.col("id")).alias("campaign_key"), F.lit(1).alias("net_amount"))
+    campaigns = spark.range(3).select(
+        F.col("id").alias("campaign_key"), F.lit("c").alias("campaign_name"))
+    star = Star({"fct_sales": sales, "dim_campaign": campaigns})
+    found = marts.BENCHMARKS["revenue_by_campaign"].build(star, tuned=False)
+    assert [tuple(row) for row in found.collect()] == [("unattributed", 400)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "__lane" in plan
