@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from stratalake.functions import columns as c
 from stratalake.operators.attribution import attributable_events
-from stratalake.operators.joins import keep_known, splittable_join
+from stratalake.operators.joins import keep_known, maybe_known, splittable_join
 from stratalake.plans import gold
 
 DAY = "full_date"
@@ -82,13 +82,14 @@ def _days(ways: Mapping, added: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def on_days(silver: Mapping[str, DataFrame], days: DataFrame) -> dict[str, DataFrame]:
-    """Silver with the orders and events of ``days`` only, and the items of these orders."""
+    """Silver with the orders and events of ``days`` only, and the items of these orders. A few items
+    of other orders remain, which the fact's join to the orders drops."""
 
     def of(name: str, column: str) -> DataFrame:
         dated = silver[name].withColumn("__day", c.date(column))
         return keep_known(dated, days.select(F.col(DAY).alias("__day")), "__day").drop("__day")
 
     orders = of("orders", "order_date")
-    items = keep_known(silver["order_items"], orders, "order_id")
+    items = maybe_known(silver["order_items"], orders, "order_id")
     return dict(silver) | {
         "orders": orders, "web_events": of("web_events", "event_timestamp"), "order_items": items}
