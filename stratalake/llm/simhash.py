@@ -199,11 +199,12 @@ def links(prints: DataFrame, bits: int = BITS, block: int = BLOCK) -> DataFrame:
     placed = prints.mapInArrow(
         lambda batches: (x for batch in batches if batch.num_rows for x in _placed(batch)),
         "anchor long, print long")
-    # Most anchors have one fingerprint, and those end here.
+    # Most anchors have one fingerprint, and those end here. The others grow faster than the corpus,
+    # and Spark sizes them by the file of the fingerprints: they are never built in memory.
     sizes = placed.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select(
         "anchor", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("print"), F.col("blocks")).cast("int")
-    met = placed.join(sizes, "anchor").withColumn("own", own).select(
+    met = placed.join(sizes.hint("merge"), "anchor").withColumn("own", own).select(
         "anchor", "print", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("with"))
     grouped = met.select(
         "anchor", "print", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"),
@@ -225,7 +226,9 @@ def near_duplicates(
         "print", "first", F.coalesce("component", "print").alias("component"))
     smallest = named.groupBy("component").agg(F.min("first").alias("component_id"))
     by_print = named.join(smallest, "component").select("print", "component_id")
-    return found.join(by_print, "print").select(F.col("id").alias(id_col), "print", "component_id")
+    # The ids and prints of all documents take far less room in a file than in memory.
+    return found.join(by_print.hint("merge"), "print").select(
+        F.col("id").alias(id_col), "print", "component_id")
 
 
 def survivors(
